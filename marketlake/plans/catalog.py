@@ -76,3 +76,95 @@ def q_bench_pivot(spark, d):
 @query("dim_stocks")
 def q_dim(spark, d):
     return dim(spark, d)
+
+
+# --- dashboard: B0-B5, A2, A6, A7, A10 ------------------------------------------------------
+from marketlake.operators.aggregates import distinct_values  # noqa: E402
+from marketlake.plans import dashboard as dash  # noqa: E402
+
+# Screener parameters of the filtered registration (a sector and a cap band).
+SCREEN_SECTOR, SCREEN_CAP = "AUTOMOBILE", "Large Cap"
+DISPLAY_ROWS = 30
+
+
+@query("home_kpis")
+def q_home_kpis(spark, d):
+    return dash.home_kpis(dim(spark, d), fact(spark, d))
+
+
+@query("stock_summary")
+def q_stock_summary(spark, d):
+    return dash.stock_summary(dim(spark, d), fact(spark, d))
+
+
+@query("screener_filtered")
+def q_screener_filtered(spark, d):
+    return dash.screener(dim(spark, d), fact(spark, d), SCREEN_SECTOR, SCREEN_CAP)
+
+
+@query("screener_count")
+def q_screener_count(spark, d):
+    return dash.screener_count(dash.screener(dim(spark, d), fact(spark, d), SCREEN_SECTOR,
+                                             SCREEN_CAP))
+
+
+@query("price_trend")
+def q_price_trend(spark, d):
+    f = fact(spark, d)
+    return dash.price_trend(f, dash.screener(dim(spark, d), f, SCREEN_SECTOR, SCREEN_CAP))
+
+
+@query("benchmark_comparison")
+def q_benchmark_comparison(spark, d):
+    return dash.benchmark_comparison(fact(spark, d), DISPLAY_ROWS)
+
+
+@query("performance_stats")
+def q_performance_stats(spark, d):
+    return dash.performance_stats(fact(spark, d), DISPLAY_ROWS)
+
+
+@query("vix_overlay")
+def q_vix_overlay(spark, d):
+    return dash.vix_overlay(fact(spark, d), DISPLAY_ROWS)
+
+
+@query("stock_choices")
+def q_stock_choices(spark, d):
+    return dash.stock_choices(dim(spark, d))
+
+
+@query("sector_choices")
+def q_sector_choices(spark, d):
+    return distinct_values(dash.stock_summary(dim(spark, d), fact(spark, d)), "sector")
+
+
+# --- data quality: Q1-Q5 ---------------------------------------------------------------------
+from marketlake.operators.quality import orphan_rows  # noqa: E402
+from marketlake.plans.checks import run_suite  # noqa: E402
+
+# Evaluation date of the freshness check (a parameter, never the clock).
+DQ_AS_OF = "2024-02-08"
+
+
+def models(spark, d):
+    return {
+        "stock_prices_daily": fx.raw_prices(spark, d),
+        "company_info": fx.raw_company(spark, d),
+        "benchmark_series_daily": fx.raw_benchmarks(spark, d),
+        "stg_stock_prices": stg_prices(spark, d),
+        "stg_company_info": stg_company(spark, d),
+        "stg_benchmark_series": stg_bench(spark, d),
+        "dim_stocks": dim(spark, d),
+        "fact_daily_metrics": fact(spark, d),
+    }
+
+
+@query("data_quality")
+def q_data_quality(spark, d):
+    return run_suite(models(spark, d), DQ_AS_OF)
+
+
+@query("fact_orphans")
+def q_fact_orphans(spark, d):
+    return orphan_rows(fact(spark, d), dim(spark, d))

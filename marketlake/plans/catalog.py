@@ -168,3 +168,111 @@ def q_data_quality(spark, d):
 @query("fact_orphans")
 def q_fact_orphans(spark, d):
     return orphan_rows(fact(spark, d), dim(spark, d))
+
+
+# --- sources: S1-S16 ---------------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from marketlake.operators.filters import restrict, select_range  # noqa: E402
+from marketlake.sources import documents as docs  # noqa: E402
+from marketlake.sources import reshape  # noqa: E402
+from marketlake.sources.tables import read_table  # noqa: E402
+
+
+@query("prices_long")
+def q_prices_long(spark, d):
+    return reshape.prices_long(fx.wide_daily_bars(spark, d), fx.WIDE_REQUEST)
+
+
+@query("benchmark_long")
+def q_benchmark_long(spark, d):
+    return reshape.benchmark_long(fx.wide_daily_bars(spark, d), fx.WIDE_REQUEST)
+
+
+@query("company_from_json")
+def q_company_from_json(spark, d):
+    return docs.company_from_json(fx.company_documents(spark, d))
+
+
+@query("crew_messages")
+def q_crew_messages(spark, d):
+    return docs.explode_messages(fx.event_crew_lists(spark, d), "crew", keep=("event_id",))
+
+
+@query("prices_period_5d")
+def q_prices_period(spark, d):
+    raw = fx.raw_prices(spark, d)
+    as_of = raw.select(F.max("date")).scalar()
+    return select_range(raw, period="5d", as_of=as_of)
+
+
+@query("universe_prices")
+def q_universe_prices(spark, d):
+    """Prices restricted to a universe given as a DataFrame of symbols (semi join)."""
+    universe = read_table(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING") \
+        .select(F.col("c_custkey").alias("symbol"))
+    return restrict(fx.raw_prices(spark, d), "symbol", universe)
+
+
+# --- loads: K9-K12, A9, A5/U2, L5 ----------------------------------------------------------
+from marketlake.operators.aggregates import batch_profile, row_counts  # noqa: E402
+from marketlake.operators.filters import incremental  # noqa: E402
+from marketlake.operators.topk import top_n  # noqa: E402
+from marketlake.sinks import raw_store  # noqa: E402
+
+
+@query("watermark_upsert")
+def q_watermark_upsert(spark, d):
+    current, updates = fx.watermark_states(spark, d)
+    return raw_store.upsert_watermark(current, updates)
+
+
+@query("incremental_prices")
+def q_incremental_prices(spark, d):
+    """The second run's batch: raw prices above the stock_prices watermark of the first."""
+    current, _ = fx.watermark_states(spark, d)
+    return incremental(fx.raw_prices(spark, d), raw_store.watermark_column(current, "stock_prices"))
+
+
+@query("incremental_profile")
+def q_incremental_profile(spark, d):
+    return batch_profile(q_incremental_prices(spark, d), "date", "symbol")
+
+
+@query("row_counts")
+def q_row_counts(spark, d):
+    return row_counts({"stock_prices_daily": fx.raw_prices(spark, d),
+                       "company_info": fx.raw_company(spark, d),
+                       "benchmark_series_daily": fx.raw_benchmarks(spark, d)})
+
+
+@query("latest_runs")
+def q_latest_runs(spark, d):
+    """Run log derived from the landed prices (one run per source_run_id); newest ten."""
+    runs = fx.raw_prices(spark, d).groupBy("source_run_id").agg(
+        F.max("ingested_at").alias("run_timestamp"),
+        F.count(F.lit(1)).alias("records_loaded"))
+    return top_n(runs.withColumnRenamed("source_run_id", "run_id"), 10,
+                 F.col("run_timestamp").desc(), F.col("run_id").desc())
+
+
+# --- long history: M1/M5 on deep series, W12 -------------------------------------------------
+from marketlake.operators.windows import entity_window, moving_avg  # noqa: E402
+
+
+def long_prices(spark, d):
+    return staging.stg_stock_prices(fx.raw_long_prices(spark, d), fx.LONG_HISTORY_TIE)
+
+
+@query("fact_long_history")
+def q_fact_long(spark, d):
+    company = stg_company(spark, d).withColumn("symbol", F.col("symbol").cast("string"))
+    return marts.fact_daily_metrics(long_prices(spark, d), company, stg_bench(spark, d))
+
+
+@query("long_history_ma20")
+def q_long_ma20(spark, d):
+    p = long_prices(spark, d)
+    w = entity_window(["symbol"])
+    return p.select("symbol", "date", "close", "volume_ma5",
+                    F.round(moving_avg("close", w, 20), 6).alias("close_ma20"))

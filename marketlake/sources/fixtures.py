@@ -135,3 +135,105 @@ def raw_long_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("run_"), F.col("l_orderkey").cast("string")).alias("source_run_id"),
         *LONG_HISTORY_TIE,
     )
+
+
+# --- wide downloads, documents, lists ------------------------------------------------------
+def wide_daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wide multi-ticker download: one row per date, one OHLCV struct per event type.
+
+    Each block is the newest event of that type on that day (the whole events table is
+    deduplicated); the pivot has one output row per date, so it stays small.
+    """
+    from marketlake.operators.dedup import latest_version
+    from marketlake.sources.reshape import WIDE_FIELDS
+
+    ev = read_table(spark, sf_dir, "events")
+    base = ev.select(F.col("event_type").alias("ticker"), F.to_date("ts").alias("Date"),
+                     "value", "props", "ts", "event_id")
+    latest = latest_version(base, ["ticker", "Date"], "ts", ["event_id"])
+    v = F.col("value")
+    fields = [v * F.lit(0.5), v * F.lit(1.25), v * F.lit(0.75), v, v,
+              F.get_json_object("props", "$.k").cast("bigint")]
+    bars = latest.select("ticker", "Date", F.struct(*[e.alias(n) for e, n in
+                                                      zip(fields, WIDE_FIELDS)]).alias("bar"))
+    tickers = [t for t, _ in EVENT_TYPE_SERIES]
+    return bars.groupBy("Date").pivot("ticker", tickers).agg(F.first("bar"))
+
+
+# Tickers requested from the wide download: every event type plus one that is not there.
+WIDE_REQUEST = [t for t, _ in EVENT_TYPE_SERIES] + ["delisted"]
+
+
+def company_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One profile document per customer: ``(symbol, doc, ingested_at)``.
+
+    Shapes by segment: AUTOMOBILE lacks longName (shortName is used), BUILDING lacks both
+    names (the symbol is used), FURNITURE has an explicit ``"longName": null``; a negative
+    balance gives a truncated, malformed document.
+    """
+    c = read_table(spark, sf_dir, "customer")
+    n = read_table(spark, sf_dir, "nation")
+    cn = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
+    seg = F.col("c_mktsegment")
+    body = [
+        F.col("c_mktsegment").alias("sector"), F.col("n_name").alias("industry"),
+        (F.round(F.col("c_acctbal") * F.lit(100.0)).cast("bigint") * F.lit(300000)).alias("marketCap"),
+        (F.col("c_acctbal") / F.lit(100.0)).alias("trailingPE"),
+        (F.col("c_nationkey") * F.lit(1000)).alias("fullTimeEmployees"),
+        F.col("n_name").alias("country"),
+    ]
+    short = F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("shortName")
+    full = F.to_json(F.struct(F.col("c_name").alias("longName"), short, *body))
+    no_long = F.to_json(F.struct(short, *body))
+    no_names = F.to_json(F.struct(*body))
+    null_long = F.to_json(F.struct(F.lit(None).cast("string").alias("longName"), short, *body),
+                          {"ignoreNullFields": "false"})
+    broken = F.concat(F.lit('{"longName": "'), F.col("c_name"), F.lit('"'))
+    doc = (F.when(F.col("c_acctbal") < 0, broken)
+            .when(seg == "AUTOMOBILE", no_long)
+            .when(seg == "BUILDING", no_names)
+            .when(seg == "FURNITURE", null_long)
+            .otherwise(full))
+    return cn.select(F.col("c_custkey").alias("symbol"), doc.alias("doc"),
+                     F.to_timestamp_ntz(F.lit(COMPANY_SNAPSHOT_TS)).alias("ingested_at"))
+
+
+def event_crew_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A two-element JSON list of ``{craft, name}`` per event: ``(event_id, crew)``."""
+    ev = read_table(spark, sf_dir, "events")
+    crew = F.to_json(F.array(
+        F.struct(F.col("event_type").alias("craft"),
+                 F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("name")),
+        F.struct(F.col("event_type").alias("craft"),
+                 F.concat(F.lit("event-"), F.col("event_id").cast("string")).alias("name")),
+    ))
+    return ev.select("event_id", crew.alias("crew"))
+
+
+# --- two sequential loads ------------------------------------------------------------------
+# The price history is loaded in two runs: everything up to and including this date, then
+# the rest. Together they cover the whole table.
+FIRST_LOAD_THROUGH = "2024-01-15"
+
+
+def watermark_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(state after the first run, updates of the second run), from the raw tables.
+
+    First run: ``stock_prices`` and ``benchmark_series``. Second run: ``stock_prices``
+    (update) and ``company_info`` (insert); ``benchmark_series`` is untouched.
+    """
+    from marketlake.sinks.raw_store import batch_watermarks
+
+    cut = F.to_date(F.lit(FIRST_LOAD_THROUGH))
+    p = raw_prices(spark, sf_dir).withColumn("dataset", F.lit("stock_prices"))
+    b = raw_benchmarks(spark, sf_dir).withColumn("dataset", F.lit("benchmark_series"))
+    first_rows = (p.filter(F.col("date") <= cut).select("dataset", "date", "ingested_at")
+                  .unionByName(b.filter(F.col("date") <= cut)
+                               .select("dataset", "date", "ingested_at")))
+    first = batch_watermarks(first_rows, "dataset")
+    comp = raw_company(spark, sf_dir).select(
+        F.lit("company_info").alias("dataset"), F.to_date("ingested_at").alias("date"),
+        "ingested_at")
+    second_rows = (p.filter(F.col("date") > cut).select("dataset", "date", "ingested_at")
+                   .unionByName(comp))
+    return first, batch_watermarks(second_rows, "dataset")

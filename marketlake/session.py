@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # call-site capture costs several JVM round trips per Column function on the driver
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

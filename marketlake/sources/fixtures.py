@@ -64,30 +64,27 @@ def raw_benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _company_generation(cn: DataFrame, acctbal, ingested_at, run_id: str,
-                        with_error: bool) -> DataFrame:
-    null = lambda t: F.lit(None).cast(t)
-    market_cap = F.round(acctbal * F.lit(100.0)).cast("bigint") * F.lit(300000)
-    error = (F.when(F.col("c_acctbal") < 0, F.lit("negative balance")) if with_error
-             else null("string"))
-    return cn.select(
-        F.col("c_custkey").alias("symbol"),
-        F.col("c_name").alias("company_name"),
-        F.col("c_mktsegment").alias("sector"),
-        F.col("n_name").alias("industry"),
-        market_cap.alias("market_cap"),
-        null("bigint").alias("enterprise_value"),
-        *[null("double").alias(c) for c in (
-            "pe_ratio", "forward_pe", "peg_ratio", "price_to_book", "dividend_yield", "beta",
-            "fifty_two_week_high", "fifty_two_week_low", "fifty_day_average",
-            "two_hundred_day_average")],
-        null("bigint").alias("shares_outstanding"),
-        null("bigint").alias("float_shares"),
-        null("int").alias("employees"),
-        *[null("string").alias(c) for c in ("country", "city", "website", "business_summary")],
-        ingested_at.alias("ingested_at"),
-        F.lit(run_id).alias("source_run_id"),
-        error.alias("error"),
+# Company attributes the fixture has no source for: typed NULLs, in table order.
+_COMPANY_NULLS = (
+    "CAST(NULL AS BIGINT) AS enterprise_value",
+    *[f"CAST(NULL AS DOUBLE) AS {c}" for c in (
+        "pe_ratio", "forward_pe", "peg_ratio", "price_to_book", "dividend_yield", "beta",
+        "fifty_two_week_high", "fifty_two_week_low", "fifty_day_average",
+        "two_hundred_day_average")],
+    "CAST(NULL AS BIGINT) AS shares_outstanding", "CAST(NULL AS BIGINT) AS float_shares",
+    "CAST(NULL AS INT) AS employees",
+    *[f"CAST(NULL AS STRING) AS {c}" for c in ("country", "city", "website", "business_summary")],
+)
+
+
+def _company_generation(cn: DataFrame, acctbal: str, ingested_at: str, run_id: str,
+                        error: str) -> DataFrame:
+    return cn.selectExpr(
+        "c_custkey AS symbol", "c_name AS company_name", "c_mktsegment AS sector",
+        "n_name AS industry",
+        f"CAST(round({acctbal} * 100.0D) AS BIGINT) * 300000 AS market_cap",
+        *_COMPANY_NULLS,
+        f"{ingested_at} AS ingested_at", f"'{run_id}' AS source_run_id", f"{error} AS error",
     )
 
 
@@ -101,10 +98,11 @@ def raw_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     # nation is a fixed 25-row reference table; the planner broadcasts it by file size.
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
-    ts = F.to_timestamp_ntz(F.lit(COMPANY_SNAPSHOT_TS))
-    current = _company_generation(cn, F.col("c_acctbal"), ts, "run_company_2", True)
-    older = _company_generation(cn, F.col("c_acctbal") / F.lit(2.0),
-                                ts - F.expr("INTERVAL 1 DAY"), "run_company_1", False)
+    ts = f"TIMESTAMP_NTZ '{COMPANY_SNAPSHOT_TS}'"
+    current = _company_generation(cn, "c_acctbal", ts, "run_company_2",
+                                  "CASE WHEN c_acctbal < 0 THEN 'negative balance' END")
+    older = _company_generation(cn, "(c_acctbal / 2.0D)", f"{ts} - INTERVAL 1 DAY",
+                                "run_company_1", "CAST(NULL AS STRING)")
     return current.unionByName(older)
 
 

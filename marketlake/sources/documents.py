@@ -32,20 +32,27 @@ def company_from_json(df: DataFrame, symbol_col: str = "symbol", doc_col: str =
     explicit ``"longName": null`` stays NULL (S12). Bad documents give error rows (S13).
     """
     doc = F.col(doc_col)
-    j = F.from_json(doc, COMPANY_DOC_SCHEMA, {"mode": "PERMISSIVE",
-                                              "columnNameOfCorruptRecord": "_corrupt_record"})
-    keys = F.json_object_keys(doc)  # NULL for malformed or non-object documents
+    # Parse once per row in its own projection. The fields are read under a condition,
+    # where common-subexpression elimination would not share one parse between them.
+    parsed = df.select(
+        F.col(symbol_col).alias("symbol"), F.col(ingested_col).alias("ingested_at"),
+        doc.isNull().alias("_missing"),
+        F.from_json(doc, COMPANY_DOC_SCHEMA, {"mode": "PERMISSIVE",
+                    "columnNameOfCorruptRecord": "_corrupt_record"}).alias("_j"),
+        F.json_object_keys(doc).alias("_keys"),  # NULL for malformed or non-object docs
+    )
+    j, keys = F.col("_j"), F.col("_keys")
     has = lambda k: F.array_contains(keys, k)
     name = (F.when(has("longName"), j["longName"])
              .when(has("shortName"), j["shortName"])
-             .otherwise(F.col(symbol_col).cast("string")))
-    error = F.when(doc.isNull(), F.lit(MISSING)).when(keys.isNull(), F.lit(MALFORMED))
+             .otherwise(F.col("symbol").cast("string")))
+    error = F.when(F.col("_missing"), F.lit(MISSING)).when(keys.isNull(), F.lit(MALFORMED))
     ok = keys.isNotNull()
-    return df.select(
-        F.col(symbol_col).alias("symbol"),
+    return parsed.select(
+        "symbol",
         F.when(ok, name).alias("company_name"),
         *[F.when(ok, j[key]).alias(column) for key, column, _ in COMPANY_DOC_FIELDS],
-        F.col(ingested_col).alias("ingested_at"),
+        "ingested_at",
         error.alias("error"),
     )
 

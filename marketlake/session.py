@@ -59,3 +59,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def scale_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20,
+               min_partitions: int = 16) -> dict:
+    """Shuffle sizing for a run whose largest exchange moves about ``shuffle_bytes``.
+
+    The first exchange of the price dedup carries roughly the projected raw columns (the
+    map-side partial top-1 removes only versions that meet in one split), so size from that:
+    one reducer per ``partition_bytes`` keeps every sort in memory or in a few spills. AQE
+    starts from this count and coalesces the later, smaller exchanges (per-symbol windows,
+    pivots, dimensions) toward the same advisory size; skewed partitions are split.
+
+    Example: 100 TB raw, ~35% surviving projection -> ~35 TB -> ~130k partitions of 256 MiB.
+    """
+    n = max(min_partitions, -(-int(shuffle_bytes) // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

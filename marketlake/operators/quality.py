@@ -97,3 +97,55 @@ def orphan_rows(fact: DataFrame, dim: DataFrame, key: str = "symbol", obj: str =
     orphans = fact.select(key).join(dim.select(key), key, "left_anti")
     return orphans.agg(F.count(F.lit(1)).alias("n")).select(
         *_row("relationships", obj, key, F.col("n"), F.col("n") > 0, "warn"))
+
+
+def check_model(df: DataFrame, obj: str, not_null: Sequence[str] = (),
+                unique: str | None = None, unique_combination: Sequence[str] | None = None,
+                non_empty: bool = False, freshness: str | None = None, as_of=None,
+                max_age_days: int = FRESHNESS_DAYS) -> DataFrame:
+    """All checks of one model from a single aggregate pass, as check rows.
+
+    With a uniqueness key the rows are first pre-aggregated per key value (map-side partial
+    counts; a model already partitioned by that key is not re-shuffled) and the NULL
+    counts, row count and duplicate count are summed from the groups. Results equal the
+    one-check-at-a-time functions above.
+    """
+    key = [unique] if unique else list(unique_combination or [])
+    metrics: list[tuple[str, Column]] = []  # (name, aggregate over the base rows)
+    for c in not_null:
+        metrics.append((f"nn_{c}", F.sum(F.col(c).isNull().cast("long"))))
+    metrics.append(("rows", F.count(F.lit(1))))
+    if freshness:
+        metrics.append(("max_date", F.max(freshness)))
+    if key:
+        groups = df.groupBy(*key).agg(*[e.alias(n) for n, e in metrics])
+        dup = F.col("rows") > 1
+        if unique:
+            dup = dup & F.col(unique).isNotNull()
+        final = [F.sum(F.col(n)).alias(n) for n, _ in metrics if n != "max_date"]
+        if freshness:
+            final.append(F.max("max_date").alias("max_date"))
+        final.append(F.count_if(dup).alias("dups"))
+        wide = groups.agg(*final)
+    else:
+        wide = df.agg(*[e.alias(n) for n, e in metrics])
+    rows = []
+    for c in not_null:
+        n = F.coalesce(F.col(f"nn_{c}"), F.lit(0))
+        rows.append(("not_null", c, n, _status(n > 0)))
+    if key:
+        d = F.coalesce(F.col("dups"), F.lit(0))
+        rows.append(("unique" if unique else "unique_combination", ",".join(key), d, _status(d > 0)))
+    if non_empty:
+        n = F.coalesce(F.col("rows"), F.lit(0))
+        rows.append(("non_empty", "*", n, _status(n == 0)))
+    if freshness:
+        age = F.datediff(_date_lit(as_of), F.col("max_date"))
+        status = (F.when(age.isNull(), F.lit("fail"))
+                   .when(age > max_age_days, F.lit("warn")).otherwise(F.lit("pass")))
+        rows.append(("freshness", freshness, age, status))
+    structs = [F.struct(F.lit(check).alias("check_name"), F.lit(obj).alias("object_name"),
+                        F.lit(col).alias("column_name"), obs.cast("bigint").alias("observed"),
+                        st.alias("status"))
+               for check, col, obs, st in rows]
+    return wide.select(F.inline(F.array(*structs)))

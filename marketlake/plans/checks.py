@@ -29,10 +29,16 @@ FRESHNESS = [("stock_prices_daily", "date")]
 
 
 def run_suite(models: Mapping[str, DataFrame], as_of) -> DataFrame:
-    """All checks over ``models`` (name -> DataFrame) as one DataFrame."""
-    parts = [q.check_not_null(models[m], cols, m) for m, cols in NOT_NULL]
-    parts += [q.check_unique(models[m], c, m) for m, c in UNIQUE]
-    parts += [q.check_unique_combination(models[m], cols, m) for m, cols in UNIQUE_COMBINATION]
-    parts += [q.check_non_empty(models[m], m) for m in NON_EMPTY]
-    parts += [q.check_freshness(models[m], m, as_of, c) for m, c in FRESHNESS]
+    """All checks over ``models`` (name -> DataFrame) as one DataFrame: one aggregate pass
+    per model, however many checks it has."""
+    nn = {m: cols for m, cols in NOT_NULL}
+    uq = dict(UNIQUE)
+    combo = dict(UNIQUE_COMBINATION)
+    fresh = dict(FRESHNESS)
+    names = list(dict.fromkeys([m for m, _ in NOT_NULL] + list(uq) + list(combo)
+                               + NON_EMPTY + list(fresh)))
+    parts = [q.check_model(models[m], m, not_null=nn.get(m, ()), unique=uq.get(m),
+                           unique_combination=combo.get(m), non_empty=m in NON_EMPTY,
+                           freshness=fresh.get(m), as_of=as_of)
+             for m in names]
     return q.union_checks(parts)

@@ -56,3 +56,21 @@ def test_orphans(spark):
     dim = spark.createDataFrame([("A",)], "symbol string")
     r = q.orphan_rows(fact, dim).first()
     assert (r.observed, r.status) == (2, "warn")
+
+
+@pytest.mark.parametrize("kw", [dict(unique="symbol"), dict(unique_combination=["symbol", "date"]),
+                                dict()])
+def test_one_pass_model_checks_equal_single_checks(spark, kw):
+    df = frame(spark)
+    one = q.check_model(df, "t", not_null=["symbol", "close"], non_empty=True,
+                        freshness="date", as_of="2024-01-10", **kw)
+    singles = [q.check_not_null(df, ["symbol", "close"], "t"), q.check_non_empty(df, "t"),
+               q.check_freshness(df, "t", "2024-01-10")]
+    if "unique" in kw:
+        singles.append(q.check_unique(df, "symbol", "t"))
+    if "unique_combination" in kw:
+        singles.append(q.check_unique_combination(df, ["symbol", "date"], "t"))
+    assert sorted(one.collect()) == sorted(q.union_checks(singles).collect())
+    empty = q.check_model(df.limit(0), "t", not_null=["close"], non_empty=True, **kw)
+    got = {r.check_name: (r.observed, r.status) for r in empty.collect()}
+    assert got["non_empty"] == (0, "fail") and got["not_null"] == (0, "pass")

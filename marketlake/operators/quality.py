@@ -19,6 +19,8 @@ from marketlake.functions.expressions import _date_lit
 
 FRESHNESS_DAYS = 7
 
+RESULT_SCHEMA = "check_name string, object_name string, column_name string, observed bigint, status string"
+
 
 class DataQualityError(RuntimeError):
     pass

@@ -39,3 +39,14 @@ def test_build_fails_on_failed_check(spark, raw_root, tmp_dir):
         .write.mode("append").parquet(f"{raw_root}/stock_prices_daily")
     with pytest.raises(DataQualityError):
         build.build_marts(spark, raw_root, f"{tmp_dir}/marts2", as_of="2024-02-01")
+
+
+def test_build_checks_equal_lazy_suite(spark, raw_root, tmp_dir):
+    """The observed-on-write checks give the same table as the lazy suite."""
+    res = build.build_marts(spark, raw_root, f"{tmp_dir}/marts3", as_of="2024-02-08")
+    lazy = catalog.QUERIES["data_quality"](spark, SF_SMALL)
+    got = sorted(tuple(r[k] for k in ("check_name", "object_name", "column_name", "observed",
+                                       "status")) for r in res["checks"])
+    assert got == sorted(tuple(r) for r in lazy.select("check_name", "object_name",
+                                                       "column_name", "observed",
+                                                       "status").collect())

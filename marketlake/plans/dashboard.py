@@ -99,12 +99,14 @@ def benchmark_comparison(fact: DataFrame, n: int = 30, symbol=None) -> DataFrame
     index of the stock and of the S&P 500 and both cumulative returns (L2, L3, W10, W11)."""
     rows = latest_rows(fact.select(*COMPARISON_COLUMNS), n, symbol)
     w = entity_window(["symbol"])
+    # Not rounded: the index is one division, and the running product is a left fold in
+    # date order, so both are exact (rounding could split values sitting on a tie).
     return rows.select(
         *COMPARISON_COLUMNS,
-        _r(base100("close", w), "stock_index"),
-        _r(base100("sp500_value", w), "sp500_index"),
-        _r(cumulative_return("daily_return", w), "cum_return"),
-        _r(cumulative_return("sp500_return", w), "sp500_cum_return"),
+        base100("close", w).alias("stock_index"),
+        base100("sp500_value", w).alias("sp500_index"),
+        cumulative_return("daily_return", w).alias("cum_return"),
+        cumulative_return("sp500_return", w).alias("sp500_cum_return"),
     )
 
 

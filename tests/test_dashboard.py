@@ -29,8 +29,8 @@ def test_benchmark_comparison_windows(spark):
     assert out[("A", 2)].stock_index == 100.0 and out[("A", 3)].stock_index == 90.0
     assert out[("A", 4)].sp500_index is None
     # cumulative return includes the first displayed row's own return
-    assert out[("A", 2)].cum_return == 0.1
-    assert abs(out[("A", 3)].cum_return - (1.1 * 0.9 - 1)) < 1e-6
+    assert out[("A", 2)].cum_return == (1 + 0.1) - 1          # as pandas cumprod gives
+    assert out[("A", 3)].cum_return == (1 + 0.1) * (1 - 0.1) - 1
     assert out[("N", 2)].stock_index is None          # first value NULL -> NULL index
     assert out[("N", 1)].cum_return == 0.0            # fillna(0)
 

@@ -9,10 +9,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from marketlake.operators.aggregates import pivot_benchmarks
+from pyspark.sql import functions as F
+
+from marketlake.operators.aggregates import (batch_profile, distinct_values, pivot_benchmarks,
+                                             row_counts)
+from marketlake.operators.filters import incremental, restrict, select_range
+from marketlake.operators.quality import orphan_rows
+from marketlake.operators.topk import top_n
+from marketlake.operators.windows import entity_window, moving_avg
+from marketlake.plans import dashboard as dash
 from marketlake.plans import marts, staging
+from marketlake.plans.checks import run_suite
+from marketlake.sinks import raw_store
+from marketlake.sources import documents as docs
 from marketlake.sources import fixtures as fx
+from marketlake.sources import reshape
+from marketlake.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -117,8 +129,6 @@ def q_dim(spark, d):
 
 
 # --- dashboard: B0-B5, A2, A6, A7, A10 ------------------------------------------------------
-from marketlake.operators.aggregates import distinct_values  # noqa: E402
-from marketlake.plans import dashboard as dash  # noqa: E402
 
 # Screener parameters of the filtered registration (a sector and a cap band).
 SCREEN_SECTOR, SCREEN_CAP = "AUTOMOBILE", "Large Cap"
@@ -178,8 +188,6 @@ def q_sector_choices(spark, d):
 
 
 # --- data quality: Q1-Q5 ---------------------------------------------------------------------
-from marketlake.operators.quality import orphan_rows  # noqa: E402
-from marketlake.plans.checks import run_suite  # noqa: E402
 
 # Evaluation date of the freshness check (a parameter, never the clock).
 DQ_AS_OF = "2024-02-08"
@@ -209,12 +217,6 @@ def q_fact_orphans(spark, d):
 
 
 # --- sources: S1-S16 ---------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from marketlake.operators.filters import restrict, select_range  # noqa: E402
-from marketlake.sources import documents as docs  # noqa: E402
-from marketlake.sources import reshape  # noqa: E402
-from marketlake.sources.tables import read_table  # noqa: E402
 
 
 @query("prices_long")
@@ -253,10 +255,6 @@ def q_universe_prices(spark, d):
 
 
 # --- loads: K9-K12, A9, A5/U2, L5 ----------------------------------------------------------
-from marketlake.operators.aggregates import batch_profile, row_counts  # noqa: E402
-from marketlake.operators.filters import incremental  # noqa: E402
-from marketlake.operators.topk import top_n  # noqa: E402
-from marketlake.sinks import raw_store  # noqa: E402
 
 
 @query("watermark_upsert")
@@ -295,7 +293,6 @@ def q_latest_runs(spark, d):
 
 
 # --- long history: M1/M5 on deep series, W12 -------------------------------------------------
-from marketlake.operators.windows import entity_window, moving_avg  # noqa: E402
 
 
 def long_prices(spark, d):

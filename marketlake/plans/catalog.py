@@ -159,7 +159,11 @@ def q_screener_count(spark, d):
 @query("price_trend")
 def q_price_trend(spark, d):
     f = fact(spark, d)
-    return dash.price_trend(f, dash.screener(dim(spark, d), f, SCREEN_SECTOR, SCREEN_CAP))
+    # the latest loaded date: the fact holds one row per deduplicated price, so its newest
+    # date is the raw table's, read from one column instead of re-running the dedup
+    as_of = raw_prices(spark, d).select(F.max("date")).scalar()
+    return dash.price_trend(f, dash.screener(dim(spark, d), f, SCREEN_SECTOR, SCREEN_CAP),
+                            as_of)
 
 
 @query("benchmark_comparison")

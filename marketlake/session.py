@@ -25,11 +25,13 @@ def get_session(master: str | None = None, app_name: str = "marketlake",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only when no master is configured by the
-    launcher; on a cluster ``spark-submit`` decides.
+    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only for a plain ``python`` process.
+    Under ``spark-submit`` (or a pyspark shell) the launcher has already configured the
+    master and it is left alone.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and "SPARK_MASTER" not in os.environ:
+    launched = any(k in os.environ for k in ("PYSPARK_GATEWAY_PORT", "SPARK_MASTER", "MASTER"))
+    if master is None and not launched:
         master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
     if master:
         builder = builder.master(master)

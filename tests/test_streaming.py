@@ -35,3 +35,22 @@ def test_only_new_files_are_loaded(spark, tmp_dir):
     b = staging.stg_stock_prices(fx.raw_prices(spark, SF_SMALL)).select(
         "symbol", "date", "close", "daily_return")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_cli_ingest_then_build(spark, tmp_dir):
+    from marketlake import cli
+    from marketlake.sources import fixtures as fx
+    root, landing = f"{tmp_dir}/raw", f"{tmp_dir}/landing"
+    for table, df in (("stock_prices_daily", fx.raw_prices(spark, SF_SMALL)),
+                      ("company_info", fx.raw_company(spark, SF_SMALL)),
+                      ("benchmark_series_daily", fx.raw_benchmarks(spark, SF_SMALL))):
+        schema = cli._landed_schema(table)
+        cast = [F.col(f.name).cast(f.dataType) for f in schema.fields]
+        df.select(*cast).write.parquet(f"{landing}/{table}/batch1")
+        out = cli.main(["ingest", "--landing", f"{landing}/{table}/*", "--table", table,
+                        "--root", root])
+        assert sum(b.get("records_loaded", 0) for b in out["batches"]) == df.count()
+    res = cli.main(["build", "--root", root, "--out", f"{tmp_dir}/marts", "--as-of", "2024-02-08"])
+    assert res["fact_rows"] == fx.raw_prices(spark, SF_SMALL).select("symbol", "date") \
+        .distinct().count()
+    assert rs.get_watermark(spark, f"{root}/watermarks", "benchmark_series") == "2024-01-30"

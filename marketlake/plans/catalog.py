@@ -191,6 +191,11 @@ def q_sector_choices(spark, d):
     return distinct_values(dash.stock_summary(dim(spark, d), fact(spark, d)), "sector")
 
 
+@query("symbol_choices")
+def q_symbol_choices(spark, d):
+    return distinct_values(dash.stock_summary(dim(spark, d), fact(spark, d)), "symbol")
+
+
 # --- data quality: Q1-Q5 ---------------------------------------------------------------------
 
 # Evaluation date of the freshness check (a parameter, never the clock).

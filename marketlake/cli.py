@@ -1,8 +1,9 @@
 """Command line for the daily run: ``ingest`` landed files, then ``build`` the marts.
 
-    spark-submit --py-files marketlake.zip marketlake/cli.py ingest --landing s3://.../landing/prices \\
-        --dataset stock_prices --table stock_prices_daily --root s3://.../raw
-    spark-submit --py-files marketlake.zip marketlake/cli.py build --root s3://.../raw --out s3://.../marts --as-of 2024-01-31
+    spark-submit --py-files marketlake.zip marketlake/cli.py ingest \\
+        --landing <shared>/landing/prices/* --table stock_prices_daily --root <shared>/raw
+    spark-submit --py-files marketlake.zip marketlake/cli.py build \\
+        --root <shared>/raw --out <shared>/marts --as-of 2024-01-31
 
 Paths are whatever the cluster's file system understands; the stream checkpoints go under
 the cluster's ``spark.checkpoint.dir``.

@@ -47,7 +47,8 @@ def main(argv: list[str] | None = None) -> dict:
             spark, args.landing, _landed_schema(args.table), f"{root}/{args.table}", dataset,
             runs_path=f"{root}/ingest_runs",
             watermark_root=f"{root}/watermarks" if date_col else None,
-            file_format=args.format, date_col=date_col or "date")
+            file_format=args.format, date_col=date_col or "date",
+            partition_by=[date_col] if date_col else None)
         out = {"batches": results}
     else:
         from marketlake.plans.build import build_marts

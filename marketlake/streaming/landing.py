@@ -26,7 +26,8 @@ def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType, r
                   dataset_name: str, runs_path: str | None = None,
                   watermark_root: str | None = None, checkpoint: str | None = None,
                   file_format: str = "parquet", date_col: str = "date",
-                  max_files_per_trigger: int | None = None) -> list[dict]:
+                  max_files_per_trigger: int | None = None,
+                  partition_by: list[str] | None = None) -> list[dict]:
     """Append every landed file not loaded before; returns one load result per micro-batch.
 
     ``checkpoint`` defaults to a folder under the cluster's shared ``spark.checkpoint.dir``.
@@ -41,7 +42,8 @@ def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType, r
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = f"run_{dataset_name}_{checkpoint_tag(checkpoint)}_{batch_id:08d}"
         res = load_to_raw(batch, raw_path, dataset_name, runs_path=runs_path,
-                          create_table=True, date_col=date_col, run_id=run_id)
+                          create_table=True, date_col=date_col, run_id=run_id,
+                          partition_by=partition_by)
         if watermark_root and res.get("watermark"):
             update_watermark(spark, watermark_root, dataset_name, res["watermark"])
         results.append(res)

@@ -123,3 +123,16 @@ def test_materialise(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/m").count() == 2
     with pytest.raises(ValueError):
         rs.materialise(df, "x", "table")
+
+
+def test_date_partitioned_raw_prunes_above_watermark(spark, tmp_dir):
+    raw = f"{tmp_dir}/prices_by_day"
+    b = batch(spark, [("A", dt.datetime(2024, 1, d), float(d)) for d in range(1, 6)])
+    rs.load_to_raw(b, raw, "prices", create_table=True, partition_by=["date"])
+    stored = spark.read.parquet(raw)
+    assert dict(stored.dtypes)["date"] == "date"
+    state = spark.createDataFrame([("prices", "2024-01-03", NOW)], WATERMARKS)
+    inc = incremental(stored, rs.watermark_column(state, "prices"))
+    assert sorted(r.date.day for r in inc.collect()) == [4, 5]
+    plan = inc._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\n]*date[^\n]*Subquery", plan)

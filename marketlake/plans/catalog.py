@@ -6,6 +6,7 @@ lazy DataFrame; nothing is collected here.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,16 +42,19 @@ def query(name: str):
 # A model is a lazy plan; it is defined once per session and directory and then referenced
 # by every query that needs it (like a staging view), so the driver does not re-analyse
 # the same sub-plans for each branch of a composite query.
-_MODELS: dict[tuple, DataFrame] = {}
+# Keyed by the session object itself (weakly), so a stopped and replaced session never
+# receives plans bound to its predecessor.
+_MODELS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def model(name: str):
     def deco(build):
         def get(spark, d):
-            key = (id(spark), d, name)
-            if key not in _MODELS:
-                _MODELS[key] = build(spark, d)
-            return _MODELS[key]
+            per_session = _MODELS.setdefault(spark, {})
+            key = (d, name)
+            if key not in per_session:
+                per_session[key] = build(spark, d)
+            return per_session[key]
         get.__name__ = build.__name__
         return get
     return deco

@@ -323,4 +323,4 @@ def q_long_ma20(spark, d):
     p = long_prices(spark, d)
     w = entity_window(["symbol"])
     return p.select("symbol", "date", "close", "volume_ma5",
-                    F.round(moving_avg("close", w, 20), 6).alias("close_ma20"))
+                    moving_avg("close", w, 20).alias("close_ma20"))

@@ -4,7 +4,6 @@ S5, S15, K12). All are plain ``filter`` calls so Catalyst pushes them into the s
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,6 +85,3 @@ def incremental(df: DataFrame, watermark, date_col: str = "date") -> DataFrame:
     wm = F.to_date(wm)
     return df.filter(wm.isNull() | (F.col(date_col) > wm))
 
-
-def equals_any(col: str, values: Iterable) -> Column:
-    return F.col(col).isin(list(values))

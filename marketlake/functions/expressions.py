@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "col_", "safe_div", "pct_change_of", "alpha", "cap_category", "days_before", "age_days",
     "parse_date", "as_date", "round_even", "pct_label", "pct_fixed", "thousands",
-    "stock_label", "fill0", "to_pct", "CAP_BANDS", "MICRO_CAP",
+    "stock_label", "fill0", "to_pct", "date_value", "CAP_BANDS", "MICRO_CAP",
 ]
 
 # Market-cap bands, checked in this order (inclusive lower bounds, USD).
@@ -57,12 +57,12 @@ def cap_category(cap) -> Column:
 
 def days_before(as_of, n: int) -> Column:
     """``DATEADD(day, -n, as_of)`` as a DATE."""
-    return F.date_sub(_date_lit(as_of), n)
+    return F.date_sub(date_value(as_of), n)
 
 
 def age_days(as_of, d) -> Column:
     """Whole days between ``d`` and ``as_of``."""
-    return F.datediff(_date_lit(as_of), col_(d))
+    return F.datediff(date_value(as_of), col_(d))
 
 
 def parse_date(s) -> Column:
@@ -116,7 +116,8 @@ def to_pct(x) -> Column:
     return col_(x) * F.lit(100.0)
 
 
-def _date_lit(d) -> Column:
+def date_value(d) -> Column:
+    """A date given as a Column, a ``datetime.date`` or an ISO string, as a DATE Column."""
     if isinstance(d, Column):
         return d
     return F.to_date(F.lit(str(d)))

@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.expressions import _date_lit
+from marketlake.functions.expressions import date_value
 
 ALL = "All"
 
@@ -32,7 +32,7 @@ def screen(df: DataFrame, sector: str = ALL, cap: str = ALL, symbol=ALL) -> Data
 
 def recent(df: DataFrame, as_of, days: int = 30, date_col: str = "date") -> DataFrame:
     """``date >= DATEADD(day, -days, as_of)``: trailing *calendar* days (P5)."""
-    return df.filter(F.col(date_col) >= F.date_sub(_date_lit(as_of), days))
+    return df.filter(F.col(date_col) >= F.date_sub(date_value(as_of), days))
 
 
 def period_start(period: str, as_of) -> Column | None:
@@ -40,7 +40,7 @@ def period_start(period: str, as_of) -> Column | None:
 
     ``Nd`` counts days, ``Nmo`` months, ``Ny`` years; ``ytd`` starts at 1 January.
     """
-    a = _date_lit(as_of)
+    a = date_value(as_of)
     if period == "max":
         return None
     if period == "ytd":
@@ -60,11 +60,11 @@ def select_range(df: DataFrame, start=None, end=None, period: str = "1y", as_of=
     ending at ``as_of`` (S4). A single bound is ignored, as in the reference."""
     d = F.col(date_col)
     if start and end:
-        return df.filter((d >= _date_lit(start)) & (d < _date_lit(end)))
+        return df.filter((d >= date_value(start)) & (d < date_value(end)))
     if as_of is None:
         raise ValueError("as_of is required for period selection (never read from the clock)")
     lower = period_start(period, as_of)
-    cond = d <= _date_lit(as_of)
+    cond = d <= date_value(as_of)
     if lower is not None:
         cond = cond & (d > lower)
     return df.filter(cond)

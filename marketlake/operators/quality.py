@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.expressions import _date_lit
+from marketlake.functions.expressions import date_value
 
 FRESHNESS_DAYS = 7
 
@@ -78,7 +78,7 @@ def assert_non_empty(df: DataFrame, obj: str) -> None:
 def check_freshness(df: DataFrame, obj: str, as_of, date_col: str = "date",
                     max_age_days: int = FRESHNESS_DAYS) -> DataFrame:
     """Q5: newest date older than ``max_age_days`` before ``as_of`` warns; no date fails."""
-    age = F.datediff(_date_lit(as_of), F.max(date_col))
+    age = F.datediff(date_value(as_of), F.max(date_col))
     return df.agg(age.alias("age")).select(
         F.lit("freshness").alias("check_name"), F.lit(obj).alias("object_name"),
         F.lit(date_col).alias("column_name"), F.col("age").cast("bigint").alias("observed"),
@@ -142,7 +142,7 @@ def check_model(df: DataFrame, obj: str, not_null: Sequence[str] = (),
         n = F.coalesce(F.col("rows"), F.lit(0))
         rows.append(("non_empty", "*", n, _status(n == 0)))
     if freshness:
-        age = F.datediff(_date_lit(as_of), F.col("max_date"))
+        age = F.datediff(date_value(as_of), F.col("max_date"))
         status = (F.when(age.isNull(), F.lit("fail"))
                    .when(age > max_age_days, F.lit("warn")).otherwise(F.lit("pass")))
         rows.append(("freshness", freshness, age, status))

@@ -81,7 +81,7 @@ def build_marts(spark: SparkSession, raw_root: str, out_root: str, as_of,
              q.check_model(dim, "dim_stocks", unique="symbol"),
              q.check_model(fact, "fact_daily_metrics",
                            unique_combination=dict(checks.UNIQUE_COMBINATION)["fact_daily_metrics"])]
-    rows += [r.asDict() for part in keyed for r in part.collect()]
+    rows += [r.asDict() for part in keyed for r in part.collect()]  # one row per check
     results = spark.createDataFrame(rows, q.RESULT_SCHEMA)
     results.write.mode("overwrite").parquet(_path(out_root, "data_quality"))
     failed = [r for r in rows if r["status"] == "fail"]
@@ -120,7 +120,7 @@ def _company_rows(raw_company: DataFrame, as_of) -> list[dict]:
     its own not-null and non-empty checks are one projected pass."""
     nn = dict(checks.NOT_NULL).get("company_info", ())
     part = q.check_model(raw_company, "company_info", not_null=nn, non_empty=True)
-    return [r.asDict() for r in part.collect()]
+    return [r.asDict() for r in part.collect()]  # one row per check
 
 
 def _row(check, obj, column, observed, status) -> dict:

@@ -51,15 +51,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting always wins. Only when it is unset (local runs and tests) is a
-    private scratch folder created and registered.
+    private scratch folder created and registered with the SparkContext; the setting itself
+    is a core config and is never changed at run time.
     """
+    sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
         return configured
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     local = tempfile.mkdtemp(prefix="marketlake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 

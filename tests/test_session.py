@@ -11,11 +11,51 @@ def test_scale_conf_sizes_from_shuffle_bytes():
     assert scale_conf(1)["spark.sql.shuffle.partitions"] == "16"
 
 
-def test_checkpoint_dir_prefers_the_cluster_setting(spark, tmp_dir):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", tmp_dir)
-        assert ensure_checkpoint_dir(spark) == tmp_dir
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_checkpoint_dir_prefers_the_cluster_setting(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    got = ensure_checkpoint_dir(spark)
+    if configured:
+        assert got == configured
+    assert spark.sparkContext.getCheckpointDir() is not None
+    assert ensure_checkpoint_dir(spark) == got          # stable, nothing reconfigured
+
+
+class _Conf:
+    def __init__(self, value):
+        self.value = value
+
+    def get(self, key, default=None):
+        assert key == "spark.checkpoint.dir"
+        return self.value if self.value is not None else default
+
+    def set(self, key, value):  # a core config: must never be changed at run time
+        raise AssertionError("spark.checkpoint.dir must not be set at run time")
+
+
+class _Context:
+    def __init__(self):
+        self.dir = None
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, d):
+        self.dir = d
+
+
+class _Session:
+    def __init__(self, value):
+        self.conf = _Conf(value)
+        self.sparkContext = _Context()
+
+
+def test_checkpoint_dir_unset_uses_private_folder_without_touching_conf():
+    s = _Session(None)
+    got = ensure_checkpoint_dir(s)
+    assert got and s.sparkContext.dir == got
+    assert ensure_checkpoint_dir(s) == got
+
+
+def test_checkpoint_dir_set_is_registered():
+    s = _Session("/shared/ckpt")
+    assert ensure_checkpoint_dir(s) == "/shared/ckpt" and s.sparkContext.dir == "/shared/ckpt"

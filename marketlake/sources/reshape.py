@@ -117,7 +117,8 @@ def benchmark_single(df: DataFrame, ticker: str) -> DataFrame:
 def stamp(df: DataFrame, now: dt.datetime | None = None) -> DataFrame:
     """``ingested_at`` = one driver-side local timestamp for the whole batch."""
     now = now or dt.datetime.now()
-    return df.withColumn("ingested_at", F.lit(now).cast("timestamp_ntz"))
+    # from the ISO text: a wall-clock value, independent of process and session time zones
+    return df.withColumn("ingested_at", F.to_timestamp_ntz(F.lit(now.isoformat(sep=" "))))
 
 
 def union_frames(frames: Sequence[DataFrame]) -> DataFrame:

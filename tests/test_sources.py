@@ -67,9 +67,14 @@ def test_benchmark_single_fallback_to_first_two_columns(spark):
 
 
 def test_stamp_is_one_timestamp(spark):
-    now = dt.datetime(2024, 1, 2, 3, 4, 5)
-    out = reshape.stamp(spark.range(3), now)
-    assert {r.ingested_at for r in out.collect()} == {now}
+    now = dt.datetime(2024, 1, 2, 3, 4, 5, 678000)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        out = reshape.stamp(spark.range(3), now)
+        assert {r.ingested_at for r in out.collect()} == {now}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
     assert dict(out.dtypes)["ingested_at"] == "timestamp_ntz"
 
 

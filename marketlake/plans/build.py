@@ -1,6 +1,6 @@
 """The daily model build: raw tables -> staging views -> materialised marts -> checks.
 
-``dbt run && dbt test`` of the reference, as one Spark application:
+The reference's "run the SQL models, then run their tests" step, as one Spark application:
 
 1. staging models are lazy views over the raw parquet tables;
 2. the benchmark pivot is written first and its row count is observed on that write, so

@@ -1,4 +1,4 @@
-"""Table schemas of the raw, metadata and model layers.
+"""Table schemas of the raw, metadata and model layers (fixed values: the reference's DDL).
 
 Raw tables are append-only parquet datasets; NOT NULL and primary keys are declared in
 the reference DDL but are not enforced by parquet, so ``operators.quality`` checks them.
@@ -55,7 +55,8 @@ RAW_TABLES = {
     "watermarks": WATERMARKS,
 }
 
-# Columns a company document contributes, in table order (document key -> column).
+# The fields a company document contributes, in table order
+# (document key -> column, type).
 COMPANY_DOC_FIELDS = [
     ("sector", "sector", S), ("industry", "industry", S), ("marketCap", "market_cap", L),
     ("enterpriseValue", "enterprise_value", L), ("trailingPE", "pe_ratio", D),

@@ -63,6 +63,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not str(sc.master).startswith("local"):
+        raise ValueError("spark.checkpoint.dir is unset: name a shared folder for the cluster "
+                         "(a machine-local folder would not survive a lost driver or executor)")
     local = tempfile.mkdtemp(prefix="marketlake-ckpt-")
     sc.setCheckpointDir(local)
     return local

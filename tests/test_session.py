@@ -33,8 +33,9 @@ class _Conf:
 
 
 class _Context:
-    def __init__(self):
+    def __init__(self, master="local[2]"):
         self.dir = None
+        self.master = master
 
     def getCheckpointDir(self):
         return self.dir
@@ -44,9 +45,9 @@ class _Context:
 
 
 class _Session:
-    def __init__(self, value):
+    def __init__(self, value, master="local[2]"):
         self.conf = _Conf(value)
-        self.sparkContext = _Context()
+        self.sparkContext = _Context(master)
 
 
 def test_checkpoint_dir_unset_uses_private_folder_without_touching_conf():
@@ -59,3 +60,10 @@ def test_checkpoint_dir_unset_uses_private_folder_without_touching_conf():
 def test_checkpoint_dir_set_is_registered():
     s = _Session("/shared/ckpt")
     assert ensure_checkpoint_dir(s) == "/shared/ckpt" and s.sparkContext.dir == "/shared/ckpt"
+
+
+def test_checkpoint_dir_unset_on_a_cluster_is_an_error():
+    import pytest
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(_Session(None, master="yarn"))
+    assert ensure_checkpoint_dir(_Session("/shared/ckpt", master="yarn")) == "/shared/ckpt"

@@ -43,7 +43,11 @@ def get_session(master: str | None = None, app_name: str = "marketlake",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    # register the checkpoint folder now when it is known (or local); on a cluster without
+    # one, only code that needs a checkpoint (the landing stream) asks for it and fails
+    if spark.conf.get("spark.checkpoint.dir", None) or \
+            str(spark.sparkContext.master).startswith("local"):
+        ensure_checkpoint_dir(spark)
     return spark
 
 

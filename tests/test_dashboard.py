@@ -95,3 +95,26 @@ def test_screener_filters_and_display(spark):
     disp = {r.symbol: r for r in dash.screener_display(summary).collect()}
     assert disp["A"].avg_return == "0.12%" and disp["B"].avg_alpha == "nan%"
     assert dash.screener_count(screen(summary, sector="Tech")).first().n_stocks == 1
+
+
+def test_scalar_helpers(spark):
+    import datetime as dt2
+    df = spark.createDataFrame([("2024-01-31", dt2.datetime(2024, 1, 31, 23, 59), None, 0.5, 4.0)],
+                               "s string, ts timestamp_ntz, n double, x double, p double")
+    r = df.select(E.parse_date("s").alias("d"), E.as_date("ts").alias("d2"),
+                  E.fill0("n").alias("f"), E.to_pct("x").alias("pct"),
+                  E.days_before("2024-01-31", 30).alias("before"),
+                  E.age_days("2024-02-08", E.parse_date("s")).alias("age"),
+                  E.pct_change_of("x", "p").alias("chg"),
+                  E.pct_change_of("x", "n").alias("chg_null"),
+                  E.safe_div("x", F.lit(0.0)).alias("div0")).first()
+    assert r.d == D(2024, 1, 31) and r.d2 == D(2024, 1, 31)
+    assert r.f == 0.0 and r.pct == 50.0 and r.before == D(2024, 1, 1) and r.age == 8
+    assert r.chg == (0.5 - 4.0) / 4.0 and r.chg_null is None and r.div0 is None
+
+
+def test_head_sample_and_top_n(spark):
+    from marketlake.operators.topk import head_sample, top_n
+    df = spark.createDataFrame([(i, 10 - i) for i in range(10)], "a int, b int")
+    assert [r.a for r in head_sample(df, ["b"], 3).collect()] == [9, 8, 7]
+    assert [r.a for r in top_n(df, 2, F.col("a").desc()).collect()] == [9, 8]

@@ -66,30 +66,28 @@ def raw_benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Company attributes the fixture has no source for: typed NULLs, in table order.
 _COMPANY_NULLS = (
-    "CAST(NULL AS BIGINT) AS enterprise_value",
-    *[f"CAST(NULL AS DOUBLE) AS {c}" for c in (
+    [("enterprise_value", "BIGINT")]
+    + [(c, "DOUBLE") for c in (
         "pe_ratio", "forward_pe", "peg_ratio", "price_to_book", "dividend_yield", "beta",
         "fifty_two_week_high", "fifty_two_week_low", "fifty_day_average",
-        "two_hundred_day_average")],
-    "CAST(NULL AS BIGINT) AS shares_outstanding", "CAST(NULL AS BIGINT) AS float_shares",
-    "CAST(NULL AS INT) AS employees",
-    *[f"CAST(NULL AS STRING) AS {c}" for c in ("country", "city", "website", "business_summary")],
+        "two_hundred_day_average")]
+    + [("shares_outstanding", "BIGINT"), ("float_shares", "BIGINT"), ("employees", "INT")]
+    + [(c, "STRING") for c in ("country", "city", "website", "business_summary")]
 )
 
 
-def _company_generation(cn: DataFrame, acctbal: str, ingested_at: str, run_id: str,
-                        error: str) -> DataFrame:
-    return cn.selectExpr(
-        "c_custkey AS symbol", "c_name AS company_name", "c_mktsegment AS sector",
-        "n_name AS industry",
-        f"CAST(round({acctbal} * 100.0D) AS BIGINT) * 300000 AS market_cap",
-        *_COMPANY_NULLS,
-        f"{ingested_at} AS ingested_at", f"'{run_id}' AS source_run_id", f"{error} AS error",
-    )
+def _company_snapshot(acctbal: str, ingested_at: str, run_id: str, error: str) -> str:
+    fields = [("symbol", "c_custkey"), ("company_name", "c_name"),
+              ("sector", "c_mktsegment"), ("industry", "n_name"),
+              ("market_cap", f"CAST(round({acctbal} * 100.0D) AS BIGINT) * 300000")]
+    fields += [(c, f"CAST(NULL AS {t})") for c, t in _COMPANY_NULLS]
+    fields += [("ingested_at", ingested_at), ("source_run_id", f"'{run_id}'"),
+               ("error", error)]
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields) + ")"
 
 
 def raw_company(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``company_info`` rows: two snapshots per customer.
+    """``company_info`` rows: two snapshots per customer, emitted from one scan.
 
     The current snapshot carries an error for a negative balance; the older one (balance
     halved, one day earlier) is clean, so a failed refresh falls back to it.
@@ -99,11 +97,11 @@ def raw_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation is a fixed 25-row reference table; the planner broadcasts it by file size.
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
     ts = f"TIMESTAMP_NTZ '{COMPANY_SNAPSHOT_TS}'"
-    current = _company_generation(cn, "c_acctbal", ts, "run_company_2",
-                                  "CASE WHEN c_acctbal < 0 THEN 'negative balance' END")
-    older = _company_generation(cn, "(c_acctbal / 2.0D)", f"{ts} - INTERVAL 1 DAY",
-                                "run_company_1", "CAST(NULL AS STRING)")
-    return current.unionByName(older)
+    current = _company_snapshot("c_acctbal", ts, "run_company_2",
+                                "CASE WHEN c_acctbal < 0 THEN 'negative balance' END")
+    older = _company_snapshot("(c_acctbal / 2.0D)", f"{ts} - INTERVAL 1 DAY", "run_company_1",
+                              "CAST(NULL AS STRING)")
+    return cn.selectExpr(f"inline(array({current}, {older}))")
 
 
 # Tie-break columns of the long history, unique within a brand and day.

@@ -68,3 +68,32 @@ def test_upsert_matches_dict_merge_and_is_idempotent(spark, cur, upd):
     assert {r.dataset_name: r.watermark_value for r in once.collect()} == expected
     twice = upsert_watermark(once, mk(upd))
     assert sorted(twice.collect()) == sorted(once.collect())
+
+
+name_st = st.one_of(st.none(), st.just("<absent>"), st.text(min_size=0, max_size=5))
+
+
+@SETTINGS
+@given(docs=st.lists(st.tuples(name_st, name_st, st.booleans()), min_size=1, max_size=12))
+def test_company_name_fallback_matches_dict_get(spark, docs):
+    import json
+
+    from marketlake.sources.documents import MALFORMED, company_from_json
+    rows, expected = [], {}
+    for i, (long_name, short_name, broken) in enumerate(docs):
+        info = {}
+        if long_name != "<absent>":
+            info["longName"] = long_name
+        if short_name != "<absent>":
+            info["shortName"] = short_name
+        sym = f"S{i}"
+        text = json.dumps(info)
+        if broken:
+            text = text[:-1]            # drop the closing brace: malformed
+            expected[sym] = (None, MALFORMED)
+        else:
+            expected[sym] = (info.get("longName", info.get("shortName", sym)), None)
+        rows.append((sym, text, BASE))
+    df = spark.createDataFrame(rows, "symbol string, doc string, ingested_at timestamp_ntz")
+    got = {r.symbol: (r.company_name, r.error) for r in company_from_json(df).collect()}
+    assert got == expected

@@ -297,12 +297,9 @@ def q_row_counts(spark, d):
 
 @query("latest_runs")
 def q_latest_runs(spark, d):
-    """Run log derived from the landed prices (one run per source_run_id); newest ten."""
-    runs = raw_prices(spark, d).groupBy("source_run_id").agg(
-        F.max("ingested_at").alias("run_timestamp"),
-        F.count(F.lit(1)).alias("records_loaded"))
-    return top_n(runs.withColumnRenamed("source_run_id", "run_id"), 10,
-                 F.col("run_timestamp").desc(), F.col("run_id").desc())
+    """The ten newest runs of the ingestion log."""
+    return top_n(fx.ingest_runs(spark, d), 10, F.col("run_timestamp").desc(),
+                 F.col("run_id").desc())
 
 
 # --- long history: M1/M5 on deep series, W12 -------------------------------------------------

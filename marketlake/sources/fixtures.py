@@ -233,3 +233,26 @@ def watermark_states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     second_rows = (p.filter(F.col("date") > cut).select("dataset", "date", "ingested_at")
                    .unionByName(comp))
     return first, batch_watermarks(second_rows, "dataset")
+
+
+def ingest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ``ingest_runs`` log for the fixture: one completed run per dataset and ingestion
+    day (the daily load of the reference), with the rows it loaded.
+
+    Grouping by (dataset, day) combines map-side to a few rows per task, so the log costs
+    one pass over the raw tables however many rows they hold.
+    """
+    def runs(df: DataFrame, dataset: str, table: str) -> DataFrame:
+        day = F.to_date("ingested_at")
+        return df.groupBy(day.alias("day")).agg(
+            F.max("ingested_at").alias("run_timestamp"),
+            F.count(F.lit(1)).cast("int").alias("records_loaded"),
+        ).select(
+            F.concat(F.lit("run_"), F.date_format("day", "yyyyMMdd"), F.lit(f"_{dataset}"))
+             .alias("run_id"),
+            F.lit(dataset).alias("dataset_name"), F.lit(table).alias("table_name"),
+            "run_timestamp", "records_loaded",
+            F.lit("completed").alias("status"), F.lit(None).cast("string").alias("error_message"),
+        )
+    return runs(raw_prices(spark, sf_dir), "stock_prices", "stock_prices_daily").unionByName(
+        runs(raw_benchmarks(spark, sf_dir), "benchmark_series", "benchmark_series_daily"))

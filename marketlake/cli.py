@@ -1,4 +1,5 @@
-"""Command line for the daily run: ``ingest`` landed files, then ``build`` the marts.
+"""Command line for the daily run: ``ingest`` landed files, ``verify`` the raw tables, then
+``build`` the marts.
 
     spark-submit --py-files marketlake.zip marketlake/cli.py ingest \\
         --landing <shared>/landing/prices/* --table stock_prices_daily --root <shared>/raw
@@ -29,6 +30,9 @@ def main(argv: list[str] | None = None) -> dict:
     ing.add_argument("--table", required=True, choices=sorted(DATASETS))
     ing.add_argument("--root", required=True, help="folder of the raw and metadata tables")
     ing.add_argument("--format", default="parquet")
+    ver = sub.add_parser("verify", help="check the raw tables: non-empty, fresh prices")
+    ver.add_argument("--root", required=True)
+    ver.add_argument("--as-of", required=True, help="evaluation date of the freshness check")
     bld = sub.add_parser("build", help="rebuild staging views, marts and checks")
     bld.add_argument("--root", required=True)
     bld.add_argument("--out", required=True)
@@ -50,6 +54,8 @@ def main(argv: list[str] | None = None) -> dict:
             file_format=args.format, date_col=date_col or "date",
             partition_by=[date_col] if date_col else None)
         out = {"batches": results}
+    elif args.cmd == "verify":
+        out = {"checks": verify_raw(spark, root, args.as_of)}
     else:
         from marketlake.plans.build import build_marts
         out = build_marts(spark, root, args.out, args.as_of, fail_on_error=not args.no_fail)
@@ -57,6 +63,22 @@ def main(argv: list[str] | None = None) -> dict:
     return out
 
 
+def verify_raw(spark, root: str, as_of) -> list[dict]:
+    """The load verification before the transform: every raw table must hold rows (hard
+    failure); prices older than the freshness limit only warn. One pass per table."""
+    from marketlake.operators.quality import DataQualityError, check_model
+    rows = []
+    for table in DATASETS:
+        df = spark.read.parquet(f"{root}/{table}")
+        fresh = "date" if table == "stock_prices_daily" else None
+        part = check_model(df, table, non_empty=True, freshness=fresh, as_of=as_of)
+        rows += [r.asDict() for r in part.collect()]  # one row per check
+    failed = [r for r in rows if r["status"] == "fail"]
+    if failed:
+        raise DataQualityError(f"raw tables failed verification: {failed}")
+    return rows
+
+
 def _landed_schema(table: str):
     """A landed extract carries the raw columns except the run id the load stamps."""
     from pyspark.sql import types as T

@@ -50,7 +50,24 @@ def test_cli_ingest_then_build(spark, tmp_dir):
         out = cli.main(["ingest", "--landing", f"{landing}/{table}/*", "--table", table,
                         "--root", root])
         assert sum(b.get("records_loaded", 0) for b in out["batches"]) == df.count()
+    ver = cli.main(["verify", "--root", root, "--as-of", "2024-02-08"])["checks"]
+    assert {(c["object_name"], c["check_name"]): c["status"] for c in ver} == {
+        ("stock_prices_daily", "non_empty"): "pass", ("stock_prices_daily", "freshness"): "warn",
+        ("company_info", "non_empty"): "pass", ("benchmark_series_daily", "non_empty"): "pass"}
     res = cli.main(["build", "--root", root, "--out", f"{tmp_dir}/marts", "--as-of", "2024-02-08"])
     assert res["fact_rows"] == fx.raw_prices(spark, SF_SMALL).select("symbol", "date") \
         .distinct().count()
     assert rs.get_watermark(spark, f"{root}/watermarks", "benchmark_series") == "2024-01-30"
+
+
+def test_cli_verify_fails_on_an_empty_raw_table(spark, tmp_dir):
+    import pytest
+
+    from marketlake import cli
+    from marketlake.operators.quality import DataQualityError
+    from marketlake.schemas import RAW_TABLES
+    root = f"{tmp_dir}/raw"
+    for table in cli.DATASETS:
+        rs.create_table(spark, f"{root}/{table}", RAW_TABLES[table])
+    with pytest.raises(DataQualityError):
+        cli.main(["verify", "--root", root, "--as-of", "2024-02-08"])

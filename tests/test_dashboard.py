@@ -118,3 +118,15 @@ def test_head_sample_and_top_n(spark):
     df = spark.createDataFrame([(i, 10 - i) for i in range(10)], "a int, b int")
     assert [r.a for r in head_sample(df, ["b"], 3).collect()] == [9, 8, 7]
     assert [r.a for r in top_n(df, 2, F.col("a").desc()).collect()] == [9, 8]
+
+
+def test_price_trend_window_is_inclusive_and_semi_joined(spark):
+    f = fact(spark, [("A", D(2024, 1, 31), 1.0, None, None, None, 0.0, None),
+                     ("A", D(2024, 1, 1), 2.0, None, None, None, 0.0, None),    # as_of - 30
+                     ("A", D(2023, 12, 31), 3.0, None, None, None, 0.0, None),  # as_of - 31
+                     ("B", D(2024, 1, 31), 4.0, None, None, None, 0.0, None)])
+    shown = spark.createDataFrame([("A",)], "symbol string")
+    out = dash.price_trend(f, shown, "2024-01-31", 30).collect()
+    assert [(r.symbol, r.date) for r in out] == [("A", D(2024, 1, 31)), ("A", D(2024, 1, 1))]
+    latest = dash.price_trend(f, shown).collect()      # as_of defaults to the newest date
+    assert len(latest) == 2

@@ -1,4 +1,7 @@
-"""Every registered query against its DuckDB oracle on the sf0.001 tables."""
+"""Every registered query against its DuckDB oracle (sf0.001 by default; set
+MARKETLAKE_ORACLE_SF=/root/testdata/sf0.01 for the driver's scale)."""
+
+import os
 
 import duckdb
 import pytest
@@ -9,13 +12,14 @@ from tools.oracle_compare import TABLES, compare, rows_of
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
+SF = os.environ.get("MARKETLAKE_ORACLE_SF", SF_SMALL)
 
 
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
     for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
 
@@ -25,7 +29,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_oracle(spark, con, name):
-    sdf = QUERIES[name](spark, SF_SMALL)
+    sdf = QUERIES[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
     res = con.execute(ORACLE[name])
     dcols = [d[0] for d in res.description]

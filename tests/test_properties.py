@@ -97,3 +97,44 @@ def test_company_name_fallback_matches_dict_get(spark, docs):
     df = spark.createDataFrame(rows, "symbol string, doc string, ingested_at timestamp_ntz")
     got = {r.symbol: (r.company_name, r.error) for r in company_from_json(df).collect()}
     assert got == expected
+
+
+raw_price_st = st.lists(st.tuples(
+    st.sampled_from("AB"), st.integers(1, 8), st.integers(0, 3), st.integers(0, 2),
+    st.one_of(st.none(), st.sampled_from([0.0, 1.0, 2.5, 4.0, 10.0])),
+    st.one_of(st.none(), st.integers(0, 50))), min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(rows=raw_price_st)
+def test_stg_stock_prices_matches_brute_force(spark, rows):
+    from pyspark.sql import types as T
+
+    from marketlake.plans.staging import stg_stock_prices
+    from marketlake.schemas import STOCK_PRICES_DAILY
+
+    data = [(s, dt.date(2024, 1, d), c, c, c, c, c, v, BASE + dt.timedelta(hours=h), f"run_{r}")
+            for s, d, h, r, c, v in rows]
+    # parquet raw tables do not enforce NOT NULL, so the frame is built without it too
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in STOCK_PRICES_DAILY])
+    got = {(r.symbol, r.date.day): r for r in
+           stg_stock_prices(spark.createDataFrame(data, schema)).collect()}
+
+    latest = {}
+    for s, d, h, r, c, v in rows:                       # newest ingest, then larger run id
+        key, rank = (s, d), (h, f"run_{r}")
+        if key not in latest or rank > latest[key][0]:
+            latest[key] = (rank, c, v)
+    for sym in {k[0] for k in latest}:
+        days = sorted(d for s, d in latest if s == sym)
+        for i, d in enumerate(days):
+            _, close, vol = latest[(sym, d)]
+            prev = latest[(sym, days[i - 1])][1] if i else None
+            ret = None if close is None or prev in (None, 0.0) else (close - prev) / prev
+            window = [latest[(sym, x)][2] for x in days[max(0, i - 4): i + 1]]
+            vols = [x for x in window if x is not None]
+            ma5 = sum(vols) / len(vols) if vols else None
+            r = got[(sym, d)]
+            assert r.close == close and r.daily_return == ret and r.volume_ma5 == ma5
+            assert r.daily_volatility == (None if close in (None, 0.0) else 0.0)
+    assert len(got) == len(latest)

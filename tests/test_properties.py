@@ -138,3 +138,43 @@ def test_stg_stock_prices_matches_brute_force(spark, rows):
             assert r.close == close and r.daily_return == ret and r.volume_ma5 == ma5
             assert r.daily_volatility == (None if close in (None, 0.0) else 0.0)
     assert len(got) == len(latest)
+
+
+fact_rows_st = st.lists(st.tuples(
+    st.sampled_from("AB"), st.integers(1, 12),
+    st.one_of(st.none(), st.sampled_from([0.0, 1.5, 2.0, 3.25, 7.0])),
+    st.one_of(st.none(), st.sampled_from([-0.5, -0.1, 0.0, 0.05, 0.3]))),
+    min_size=1, max_size=30, unique_by=lambda t: (t[0], t[1]))
+
+
+@SETTINGS
+@given(rows=fact_rows_st, n=st.integers(1, 8))
+def test_benchmark_comparison_matches_pandas(spark, rows, n):
+    import math
+
+    import pandas as pd
+
+    from marketlake.plans.dashboard import benchmark_comparison
+    data = [(s, dt.date(2024, 1, d), c, r, c, r, 0.0, 1.0) for s, d, c, r in rows]
+    fact = spark.createDataFrame(data, "symbol string, date date, close double, daily_return "
+                                       "double, sp500_value double, sp500_return double, "
+                                       "alpha_vs_sp500 double, vix_value double")
+    got = {(r.symbol, r.date): r for r in benchmark_comparison(fact, n).collect()}
+
+    def clean(x):  # NULL here where pandas divides by zero
+        return None if x is None or (isinstance(x, float) and (math.isnan(x) or math.isinf(x))) else x
+
+    pdf = pd.DataFrame(data, columns=["symbol", "date", "close", "daily_return", "sp500_value",
+                                      "sp500_return", "alpha", "vix"])
+    expected = 0
+    for sym, g in pdf.groupby("symbol"):
+        d = g.sort_values("date", ascending=False).head(n).sort_values("date")
+        first = d["close"].iloc[0]
+        idx = [None if pd.isna(first) or first == 0 else x / first * 100 for x in d["close"]]
+        cum = ((1 + d["daily_return"].fillna(0)).cumprod() - 1).tolist()
+        for (_, row), i, c in zip(d.iterrows(), idx, cum):
+            r = got[(sym, row["date"])]
+            assert clean(r.stock_index) == clean(None if pd.isna(i) else i)
+            assert r.cum_return == c
+            expected += 1
+    assert len(got) == expected

@@ -178,3 +178,27 @@ def test_benchmark_comparison_matches_pandas(spark, rows, n):
             assert r.cum_return == c
             expected += 1
     assert len(got) == expected
+
+
+@SETTINGS
+@given(rows=fact_rows_st, n=st.integers(1, 8))
+def test_performance_stats_match_pandas(spark, rows, n):
+    import pandas as pd
+
+    from marketlake.plans.dashboard import performance_stats
+    data = [(s, dt.date(2024, 1, d), c, r, c, r, (r or 0.0) - 0.01, 1.0) for s, d, c, r in rows]
+    fact = spark.createDataFrame(data, "symbol string, date date, close double, daily_return "
+                                       "double, sp500_value double, sp500_return double, "
+                                       "alpha_vs_sp500 double, vix_value double")
+    got = {r.symbol: r for r in performance_stats(fact, n).collect()}
+    pdf = pd.DataFrame(data, columns=["symbol", "date", "close", "daily_return", "sp500_value",
+                                      "sp500_return", "alpha", "vix"])
+    for sym, g in pdf.groupby("symbol"):
+        d = g.sort_values("date", ascending=False).head(n)
+        for ours, theirs in ((got[sym].avg_daily_return, d["daily_return"].mean()),
+                             (got[sym].avg_alpha, d["alpha"].mean()),
+                             (got[sym].volatility, d["daily_return"].std())):
+            if pd.isna(theirs):
+                assert ours is None
+            else:
+                assert abs(ours - theirs) <= 5e-7

@@ -202,3 +202,57 @@ def test_performance_stats_match_pandas(spark, rows, n):
                 assert ours is None
             else:
                 assert abs(ours - theirs) <= 5e-7
+
+
+@SETTINGS
+@given(prices=st.lists(st.tuples(st.sampled_from("ABC"), st.integers(1, 6),
+                                 st.sampled_from([1.0, 2.0, 4.0, 5.0])),
+                       min_size=1, max_size=15, unique_by=lambda t: (t[0], t[1])),
+       caps=st.dictionaries(st.sampled_from("AB"), st.one_of(
+           st.none(), st.sampled_from([299_999_999, 300_000_000, 2_000_000_000,
+                                       10_000_000_000, 200_000_000_000]))),
+       gspc=st.dictionaries(st.integers(1, 6), st.sampled_from([0.0, 100.0, 110.0, 99.0])))
+def test_fact_matches_brute_force(spark, prices, caps, gspc):
+    from pyspark.sql import types as T
+
+    from marketlake.functions.expressions import CAP_BANDS, MICRO_CAP
+    from marketlake.plans import marts, staging
+    from marketlake.schemas import BENCHMARK_SERIES_DAILY, COMPANY_INFO, STOCK_PRICES_DAILY
+
+    def nullable(schema):
+        return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+
+    p = spark.createDataFrame([(s, dt.date(2024, 1, d), c, c, c, c, c, 1, BASE, "r")
+                               for s, d, c in prices], nullable(STOCK_PRICES_DAILY))
+    width = len(COMPANY_INFO.fields)
+    comp = []
+    for sym, cap in caps.items():
+        row = [None] * width
+        row[0], row[2], row[4], row[-3], row[-2] = sym, f"sector-{sym}", cap, BASE, "r"
+        comp.append(tuple(row))
+    c = spark.createDataFrame(comp, nullable(COMPANY_INFO))
+    b = spark.createDataFrame([("^GSPC", dt.date(2024, 1, d), v, BASE, "r")
+                               for d, v in gspc.items()], nullable(BENCHMARK_SERIES_DAILY))
+    fact = marts.fact_daily_metrics(staging.stg_stock_prices(p), staging.stg_company_info(c),
+                                    staging.stg_benchmark_series(b))
+    got = {(r.symbol, r.date.day): r for r in fact.collect()}
+
+    bench_days = sorted(gspc)
+    bench_ret = {d: (None if i == 0 or gspc[bench_days[i - 1]] == 0.0
+                     else (gspc[d] - gspc[bench_days[i - 1]]) / gspc[bench_days[i - 1]])
+                 for i, d in enumerate(bench_days)}
+    closes = {(s, d): v for s, d, v in prices}
+    assert len(got) == len(closes)
+    for (s, d), close in closes.items():
+        days = sorted(x for (y, x) in closes if y == s)
+        i = days.index(d)
+        prev = closes[(s, days[i - 1])] if i else None
+        ret = None if prev is None else (close - prev) / prev
+        cap = caps.get(s)
+        band = next((label for lower, label in CAP_BANDS if cap is not None and cap >= lower),
+                    MICRO_CAP)
+        r = got[(s, d)]
+        assert r.daily_return == ret and r.market_cap == cap and r.market_cap_category == band
+        assert r.sector == (f"sector-{s}" if s in caps else None)
+        assert r.sp500_value == gspc.get(d) and r.sp500_return == bench_ret.get(d)
+        assert r.alpha_vs_sp500 == (ret or 0.0) - (bench_ret.get(d) or 0.0)

@@ -64,3 +64,25 @@ def test_screener_adds_no_shuffle_on_fact(spark):
 def test_filters_reach_the_scan(spark):
     plan = plan_of(QUERIES["universe_prices"](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(c_mktsegment), EqualTo(c_mktsegment,BUILDING)" in plan
+
+
+def test_broadcast_only_behind_a_measured_size(spark):
+    from marketlake.operators.joins import broadcast_if_small, join_benchmarks
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # isolate the hint
+    try:
+        big = spark.range(100).selectExpr("id", "date_add(date'2024-01-01', cast(id % 7 as int)) AS date")
+        small = spark.range(7).selectExpr("date_add(date'2024-01-01', cast(id as int)) AS date",
+                                          "id AS v")
+
+        def plan(df):
+            return df._jdf.queryExecution().executedPlan().toString()
+
+        assert "BroadcastHashJoin" in plan(big.join(broadcast_if_small(small, 7, 10), "date"))
+        assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_small(small, 11, 10), "date"))
+        assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_small(small, None), "date"))
+        # the pivot join: broadcast unless a measured size says otherwise
+        assert "BroadcastHashJoin" in plan(join_benchmarks(big, small))
+        assert "BroadcastHashJoin" not in plan(join_benchmarks(big, small, bench_rows=10**9))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -136,3 +136,11 @@ def test_date_partitioned_raw_prunes_above_watermark(spark, tmp_dir):
     assert sorted(r.date.day for r in inc.collect()) == [4, 5]
     plan = inc._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\n]*date[^\n]*Subquery", plan)
+
+
+def test_batch_watermarks_per_dataset(spark):
+    df = spark.createDataFrame(
+        [("prices", D(2024, 1, 2), NOW), ("prices", D(2024, 1, 5), NOW), ("bench", None, NOW)],
+        "ds string, date date, ingested_at timestamp_ntz")
+    out = {r.dataset_name: r.watermark_value for r in rs.batch_watermarks(df, "ds").collect()}
+    assert out == {"prices": "2024-01-05", "bench": None}

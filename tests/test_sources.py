@@ -138,3 +138,16 @@ def test_restrict_list_and_frame(spark):
     assert restrict(df, "symbol", ["A", "C"]).count() == 2
     uni = spark.createDataFrame([("B",), ("B",)], "s string")
     assert [r.symbol for r in restrict(df, "symbol", uni).collect()] == ["B"]
+
+
+def test_union_frames_by_name(spark):
+    a = spark.createDataFrame([("A", 1)], "symbol string, v int")
+    b = spark.createDataFrame([(2, "B")], "v int, symbol string")
+    assert sorted(tuple(r) for r in reshape.union_frames([a, b]).collect()) == [("A", 1), ("B", 2)]
+
+
+def test_latest_date_of_empty_frame_is_null(spark):
+    from marketlake.operators.aggregates import latest_date
+    df = spark.createDataFrame([(D(2024, 1, 3),), (D(2024, 1, 9),)], "date date")
+    assert latest_date(df).first().latest_date == D(2024, 1, 9)
+    assert latest_date(df.limit(0)).first().latest_date is None     # one row, NULL

@@ -72,9 +72,13 @@ DEFAULT_GREETING = "Hello! :)"
 
 def explode_messages(df: DataFrame, list_col: str, greeting: str = DEFAULT_GREETING,
                      keep: tuple[str, ...] = ()) -> DataFrame:
-    """A JSON list of ``{craft, name}`` -> one formatted line per element."""
+    """A JSON list of ``{craft, name}`` -> one formatted line per element.
+
+    A missing value prints as ``None``, as the Python f-string of the reference does.
+    """
     items = F.from_json(F.col(list_col), MESSAGE_SCHEMA)
     exploded = df.select(*keep, F.posexplode(items).alias("pos", "item"))
+    shown = lambda c: F.coalesce(F.col(c), F.lit("None"))
     return exploded.select(*keep, "pos", F.format_string(
-        MESSAGE_TEMPLATE, F.col("item.name"), F.col("item.craft"), F.lit(greeting)
+        MESSAGE_TEMPLATE, shown("item.name"), shown("item.craft"), F.lit(greeting)
     ).alias("message"))

@@ -111,6 +111,9 @@ def test_explode_messages(spark):
     out = [r.message for r in docs.explode_messages(df, "l", keep=("id",)).orderBy("pos").collect()]
     assert out == ["Ann is currently in space flying on the ISS! Hello! :)",
                    "Bo is currently in space flying on the T! Hello! :)"]
+    odd = spark.createDataFrame([(2, json.dumps([{"craft": "ISS"}]))], "id int, l string")
+    assert docs.explode_messages(odd, "l").first().message == \
+        "None is currently in space flying on the ISS! Hello! :)"
 
 
 def test_select_range_and_periods(spark):

@@ -44,3 +44,12 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert len(df.columns) == 19
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_output_columns_are_unique_snake_case(spark, name):
+    """The driver sorts columns by name before hashing values: names must be unique."""
+    import re
+    cols = QUERIES[name](spark, SF_SMALL).columns
+    assert len(cols) == len(set(cols)), cols
+    assert all(re.fullmatch(r"[a-z][a-z0-9_]*", c) for c in cols), cols

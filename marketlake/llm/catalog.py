@@ -1,11 +1,26 @@
-"""The subpackage's registered queries and their DuckDB equivalents."""
+"""The subpackage's registered queries and their DuckDB equivalents.
+
+A query without SQL is tested against a brute-force version or held-out accuracy.
+"""
 
 from __future__ import annotations
 
+from marketlake.llm.decontamination import op1_decontamination
+from marketlake.llm.embedding_dedup import op9_embedding_dedup
+from marketlake.llm.license_scan import op8_license_scan
+from marketlake.llm.simhash_dedup import op5_simhash_dedup
 from marketlake.llm.substring_dedup import op2_substring_dedup
+from marketlake.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op5_simhash_dedup": op5_simhash_dedup,
+    "op8_license_scan": op8_license_scan,
+    "op9_embedding_dedup": op9_embedding_dedup,
+    "op10_warc": op10_warc,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_warc": OP10_SQL,
+}

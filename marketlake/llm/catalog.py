@@ -7,7 +7,11 @@ from __future__ import annotations
 
 from marketlake.llm.decontamination import op1_decontamination
 from marketlake.llm.embedding_dedup import op9_embedding_dedup
+from marketlake.llm.language_id import op7_language_id
 from marketlake.llm.license_scan import op8_license_scan
+from marketlake.llm.mixing import op3_source_mixing
+from marketlake.llm.quality_gam import op4_quality_classifier
+from marketlake.llm.secret_scan import op6_secret_scan
 from marketlake.llm.simhash_dedup import op5_simhash_dedup
 from marketlake.llm.substring_dedup import op2_substring_dedup
 from marketlake.llm.warc import OP10_SQL, op10_warc
@@ -15,7 +19,11 @@ from marketlake.llm.warc import OP10_SQL, op10_warc
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_source_mixing": op3_source_mixing,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_language_id": op7_language_id,
     "op8_license_scan": op8_license_scan,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_warc": op10_warc,

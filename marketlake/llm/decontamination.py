@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from marketlake.llm._store import written
 from marketlake.llm._text import ALNUM_WORD, Words, row_slices, window_hashes
@@ -95,7 +96,8 @@ def _count_shingles(packed: Broadcast, sizes: list[int]) -> Callable:
     return run
 
 
-def _prefix_positions(packed: Broadcast, sizes: list[int], window: int) -> Callable:
+def _prefix_positions(packed: Broadcast, sizes: list[int], window: int,
+                      keep: list[str]) -> Callable:
     """Each document's word count and the positions of prefix shingles with the words around.
 
     A position carries the words that a window with this shingle can reach.
@@ -121,14 +123,18 @@ def _prefix_positions(packed: Broadcast, sizes: list[int], window: int) -> Calla
                             "h": value, "pos": i - words.first[r], "from": a - words.first[r],
                             "around": [words.word(j).decode() for j in range(a, b)]})
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(np.diff(words.first)), pa.array(spots, kind)],
-                    names=["doc_id", "n_words", "spots"])
+                    [*(part.column(c) for c in keep), pa.array(np.diff(words.first)),
+                     pa.array(spots, kind)], names=[*keep, "n_words_", "spots_"])
     return run
 
 
 def contaminated_words(docs: DataFrame, items: DataFrame, window: int = WINDOW,
-                       shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted list of ids as strings) of every document row."""
+                       shingle: int = SHINGLE, keep: list[str] | None = None) -> DataFrame:
+    """doc (a struct of ``keep``, doc_id if not given), n_words, n_hit and items of every row.
+
+    items is the sorted list of item ids as strings.
+    """
+    keep = keep or ["doc_id"]
     if not 1 <= shingle <= window:
         raise ValueError("a shingle has 1 to window words")
     spark = docs.sparkSession
@@ -157,12 +163,17 @@ def contaminated_words(docs: DataFrame, items: DataFrame, window: int = WINDOW,
         .where("rarest.n > 0")
         .select("window_id", "words", "rarest.h", "rarest.offset"), "prefixes")
 
+    spot = ArrayType(StructType([
+        StructField("h", LongType()), StructField("pos", LongType()),
+        StructField("from", LongType()), StructField("around", ArrayType(StringType()))]))
+    schema = StructType([*(docs.schema[c] for c in keep), StructField("n_words_", LongType()),
+                         StructField("spots_", spot)])
     places = written(
-        docs.select("doc_id", "text").mapInArrow(
-            _prefix_positions(share(prefixes.select("h")), sizes, window),
-            "doc_id long, n_words long, spots array<struct<h:long,pos:long,`from`:long,"
-            "around:array<string>>>")
-        .withColumn("row_id", F.monotonically_increasing_id()), "places")
+        docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(
+            _prefix_positions(share(prefixes.select("h")), sizes, window, keep), schema)
+        .select(F.struct(*keep).alias("doc"), F.col("n_words_").alias("n_words"),
+                F.col("spots_").alias("spots"), F.monotonically_increasing_id().alias("row_id")),
+        "places")
     spots = places.select("row_id", "n_words", F.explode("spots").alias("s")).select(
         "row_id", "n_words", "s.*", F.pmod(F.xxhash64("row_id"), F.lit(SALTS)).alias("salt"))
     salted = prefixes.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"),
@@ -188,17 +199,22 @@ def contaminated_words(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     listed = (hits.select("row_id", "window_id").distinct().join(written(named, "named"), "window_id")
               .groupBy("row_id").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string")))
                                      .alias("items")))
-    return (places.select("row_id", "doc_id", "n_words")
+    return (places.select("row_id", "doc", "n_words")
             .join(covered, "row_id", "left").join(listed, "row_id", "left")
-            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+            .select("doc", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
 
 
+def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no window of an item occurs."""
+    return contaminated_words(docs, items, window, keep=docs.columns).where("n_hit = 0").select("doc.*")
+
+
 def op1_decontamination(spark, sf_dir: str) -> DataFrame:
     """The contract's digest of :func:`contaminated_words` over ``documents`` and ``benchmark``."""
     found = contaminated_words(spark.read.parquet(f"{sf_dir}/documents.parquet"),
                                spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        "doc.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))

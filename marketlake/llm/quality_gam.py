@@ -237,8 +237,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Gam
     known = (labels.where((fold(F.col("doc_id")) != 0) & F.col("quality").isin(0, 1))
              .groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+    # the sample bounds the broadcast side
     rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(
-        written(known, "labels"), "doc_id").select("quality", "text")
+        F.broadcast(written(known, "labels")), "doc_id").select("quality", "text")
     found = rows.mapInArrow(
         _feature_rows, "quality int, " + ", ".join(f"{f} double" for f in FEATURES)).toPandas()
     return fit_gam(found[list(FEATURES)].to_numpy(float), found["quality"].to_numpy(float))

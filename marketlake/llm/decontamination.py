@@ -207,7 +207,8 @@ def contaminated_words(docs: DataFrame, items: DataFrame, window: int = WINDOW,
 
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns, in which no window of an item occurs."""
-    return contaminated_words(docs, items, window, keep=docs.columns).where("n_hit = 0").select("doc.*")
+    found = contaminated_words(docs, items, window, min(SHINGLE, window), docs.columns)
+    return found.where("n_hit = 0").select("doc.*")
 
 
 def op1_decontamination(spark, sf_dir: str) -> DataFrame:

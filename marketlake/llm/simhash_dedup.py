@@ -150,10 +150,23 @@ def fingerprint_links(classes: DataFrame, radius: int, limit: int = BUCKET) -> D
         large = found.where("kind = 1")
         if large.isEmpty():
             return edges
-        masks = sorted({m[0] & _ALL for m in large.select("b").distinct().collect()})
-        finer = F.create_map(*(x for m in masks for x in (
-            F.lit(_signed(m)), F.array(*(F.lit(_signed(n)) for n in refined(m, radius))))))
-        rows = large.select(F.col("a").alias("fp"), F.explode(finer[F.col("b")]).alias("mask"))
+        rows = large.select(F.col("a").alias("fp"), F.col("b").alias("mask")).mapInArrow(
+            _refine(radius), "fp long, mask long")
+
+
+def _refine(radius: int):
+    """Each row under every finer mask of its own."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, list[int]] = {}
+        for batch in batches:
+            masks = batch.column("mask").to_pylist()
+            for mask in set(masks) - known.keys():
+                known[mask] = [_signed(m) for m in refined(mask & _ALL, radius)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("fp").take(pa.array(np.repeat(np.arange(len(masks)), radius + 1))),
+                 pa.array([m for mask in masks for m in known[mask]], pa.int64())],
+                names=["fp", "mask"])
+    return run
 
 
 def _component_table(prints: DataFrame, max_bits: int) -> DataFrame:

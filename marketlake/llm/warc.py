@@ -35,6 +35,8 @@ from marketlake.llm._store import scratch_path, written
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 128 << 20
 LEVEL = 3
+#: frames that a task reads back
+TASK_FRAMES = 32
 
 # fixed values of the seekable format and of WARC 1.1
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -248,9 +250,12 @@ def _read_frames(folder: str, payloads: bool) -> Callable:
 
 def read_bundles(bundles: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """Every record of the bundles named in column ``bundle``, frame by frame."""
-    frames = bundles.select("bundle").distinct().mapInArrow(
-        _footers(folder), "bundle string, frame int, at long, packed long, whole long")
-    return frames.repartition("bundle", "frame").mapInArrow(_read_frames(folder, payloads), RECORD)
+    frames = written(bundles.select("bundle").distinct().mapInArrow(
+        _footers(folder), "bundle string, frame int, at long, packed long, whole long"), "frames")
+    # rows of the frame table are small and stand for much work: a set number of tasks
+    tasks = -(-frames.count() // TASK_FRAMES) or 1
+    return frames.repartition(tasks, "bundle", "frame").sortWithinPartitions("bundle", "at") \
+        .mapInArrow(_read_frames(folder, payloads), RECORD)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,8 @@
     spark-submit --py-files marketlake.zip marketlake/cli.py build \\
         --root <shared>/raw --out <shared>/marts --as-of 2024-01-31
 
-Paths are whatever the cluster's file system understands; the stream checkpoints go under
-the cluster's ``spark.checkpoint.dir``.
+Paths are whatever the cluster's file system understands; the stream checkpoints stay with the
+raw tables.
 """
 
 from __future__ import annotations

@@ -39,7 +39,7 @@ BENCHMARK_SERIES_DAILY = T.StructType([
 
 INGEST_RUNS = T.StructType([
     _f("run_id", S, False), _f("dataset_name", S, False), _f("table_name", S, False),
-    _f("run_timestamp", TS), _f("records_loaded", I), _f("status", S), _f("error_message", S),
+    _f("run_timestamp", TS), _f("records_loaded", L), _f("status", S), _f("error_message", S),
 ])
 
 WATERMARKS = T.StructType([

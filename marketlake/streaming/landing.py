@@ -4,9 +4,10 @@ The reference documents incremental loading by high-water mark but always reload
 period. Here a file-source stream over the landing folder does the bookkeeping: the stream
 checkpoint records which files were consumed, ``trigger(availableNow=True)`` processes
 everything new and stops (a scheduled batch run), and each micro-batch is appended with
-``load_to_raw`` (run log row, watermark update). A replayed micro-batch (driver or executor
-lost mid-run) re-appends identical rows under the same run id, which the latest-wins
-staging dedup collapses, so the raw table stays correct.
+``load_to_raw`` (run log row, watermark update). A replayed micro-batch (driver lost between
+the load and the stream's commit) is skipped if its run is logged; if it was lost before the
+log row, identical rows are appended under the same run id, which the latest-wins staging
+dedup collapses.
 """
 
 from __future__ import annotations
@@ -16,8 +17,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from marketlake.session import ensure_checkpoint_dir
-from marketlake.sinks.raw_store import load_to_raw, update_watermark
+from marketlake.sinks.raw_store import load_to_raw, run_completed, update_watermark
 
 log = logging.getLogger(__name__)
 
@@ -30,9 +30,14 @@ def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType, r
                   partition_by: list[str] | None = None) -> list[dict]:
     """Append every landed file not loaded before; returns one load result per micro-batch.
 
-    ``checkpoint`` defaults to a folder under the cluster's shared ``spark.checkpoint.dir``.
+    ``checkpoint`` defaults to a folder inside the raw table (hidden from its readers), one
+    per landing folder: every raw table keeps its own account of what it has loaded,
+    whichever process or session loads it.
+
+    A batch whose run is already logged as completed is not loaded again. A result tells
+    whether its run log row (``logged``) and its watermark (``watermark_set``) were written.
     """
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing/{dataset_name}"
+    checkpoint = checkpoint or f"{raw_path.rstrip('/')}/_landing/{checkpoint_tag(landing_dir)}"
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -41,11 +46,15 @@ def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType, r
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = f"run_{dataset_name}_{checkpoint_tag(checkpoint)}_{batch_id:08d}"
+        if run_completed(spark, runs_path, run_id):
+            results.append({"run_id": run_id, "records_loaded": 0, "status": "replayed"})
+            return
         res = load_to_raw(batch, raw_path, dataset_name, runs_path=runs_path,
                           create_table=True, date_col=date_col, run_id=run_id,
                           partition_by=partition_by)
         if watermark_root and res.get("watermark"):
-            update_watermark(spark, watermark_root, dataset_name, res["watermark"])
+            res["watermark_set"] = update_watermark(spark, watermark_root, dataset_name,
+                                                    res["watermark"])
         results.append(res)
 
     query = (stream.writeStream.foreachBatch(load_batch)

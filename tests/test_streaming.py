@@ -88,3 +88,19 @@ def test_replayed_load_is_absorbed_by_the_dedup(spark, tmp_dir):
     once = staging.stg_stock_prices(fx.raw_prices(spark, SF_SMALL)).select(*cols)
     twice = staging.stg_stock_prices(stored).select(*cols)
     assert twice.exceptAll(once).count() == 0 and once.exceptAll(twice).count() == 0
+
+
+def test_each_raw_table_keeps_its_own_account(spark, tmp_dir):
+    """No checkpoint named: a second run loads nothing, another raw table gets every file."""
+    landing = f"{tmp_dir}/landing"
+    df = fx.raw_prices(spark, SF_SMALL).drop("source_run_id")
+    df.coalesce(2).write.parquet(f"{landing}/a")
+    for root in ("one", "two"):
+        first = ingest_landed(spark, f"{landing}/*", df.schema, f"{tmp_dir}/{root}/prices", "p",
+                              runs_path=f"{tmp_dir}/{root}/runs")
+        assert sum(r["records_loaded"] for r in first) == df.count()
+        assert all(r["logged"] for r in first)
+        again = ingest_landed(spark, f"{landing}/*", df.schema, f"{tmp_dir}/{root}/prices", "p",
+                              runs_path=f"{tmp_dir}/{root}/runs")
+        assert sum(r["records_loaded"] for r in again) == 0
+        assert spark.read.parquet(f"{tmp_dir}/{root}/prices").count() == df.count()

@@ -44,7 +44,7 @@ def present_tickers(wide: DataFrame, tickers: Sequence[str]) -> list[str]:
     present = [t for t in tickers if t in have]
     for t in tickers:
         if t not in have:
-            log.warning("No data found for ticker: %s", t)
+            log.warning("the download has no block for %s", t)
     return present
 
 
@@ -64,7 +64,7 @@ def prices_long(wide: DataFrame, tickers: Sequence[str], date_col: str = "Date")
     (S1, S2, S6, S7, U1). No block at all gives an empty frame with the schema."""
     present = present_tickers(wide, tickers)
     if not present:
-        log.error("No data extracted for any ticker")
+        log.error("the download has none of the requested price blocks")
         return wide.sparkSession.createDataFrame([], PRICE_LONG_SCHEMA)
     entries = [F.struct(F.lit(t).alias("symbol"), F.col(date_col).alias("Date"),
                         *[F.col(f"{_q(t)}.{_q(f)}").alias(f) for f in WIDE_FIELDS])
@@ -84,24 +84,24 @@ def benchmark_long(wide: DataFrame, tickers: Sequence[str], date_col: str = "Dat
     """Close of each series block -> rows ``(series_ticker, date, value)``."""
     present = present_tickers(wide, tickers)
     if not present:
-        log.error("No data extracted for any benchmark ticker")
+        log.error("the download has none of the requested series")
         return wide.sparkSession.createDataFrame([], BENCH_LONG_SCHEMA)
     entries = [F.struct(F.lit(t).alias("series_ticker"), F.col(date_col).alias("date"),
                         F.col(f"{_q(t)}.{_q(field)}").alias("value")) for t in present]
     return drop_incomplete(wide.select(F.inline(F.array(*entries))), ["value"])
 
 
+# The lower-cased names that mark the value and the date of a one-series download.
+SERIES_VALUE_NAMES = {"close", "adj close", "adj_close"}
+SERIES_DATE_NAMES = {"date", "datetime", "index"}
+
+
 def resolve_series_columns(columns: Sequence[str]) -> tuple[str, str] | None:
-    """(date column, value column) of a one-series download (S9): case-insensitive, the
-    *last* close-like and the last date-like name win; None when either is missing."""
-    close_col = date_col = None
-    for c in columns:
-        low = str(c).lower()
-        if low in ("close", "adj close", "adj_close"):
-            close_col = c
-        elif low in ("date", "datetime", "index"):
-            date_col = c
-    return (date_col, close_col) if close_col and date_col else None
+    """(date column, value column) of a one-series download (S9), by lower-cased name; of
+    several the last one. None unless both are there."""
+    by_role = [[name for name in columns if name.lower() in names]
+               for names in (SERIES_DATE_NAMES, SERIES_VALUE_NAMES)]
+    return (by_role[0][-1], by_role[1][-1]) if all(by_role) else None
 
 
 def benchmark_single(df: DataFrame, ticker: str) -> DataFrame:
@@ -119,11 +119,3 @@ def stamp(df: DataFrame, now: dt.datetime | None = None) -> DataFrame:
     now = now or dt.datetime.now()
     # from the ISO text: a wall-clock value, independent of process and session time zones
     return df.withColumn("ingested_at", F.to_timestamp_ntz(F.lit(now.isoformat(sep=" "))))
-
-
-def union_frames(frames: Sequence[DataFrame]) -> DataFrame:
-    """Bag union by column name (U1), for frames that do arrive separately."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out

@@ -143,10 +143,30 @@ def test_restrict_list_and_frame(spark):
     assert [r.symbol for r in restrict(df, "symbol", uni).collect()] == ["B"]
 
 
-def test_union_frames_by_name(spark):
-    a = spark.createDataFrame([("A", 1)], "symbol string, v int")
-    b = spark.createDataFrame([(2, "B")], "v int, symbol string")
-    assert sorted(tuple(r) for r in reshape.union_frames([a, b]).collect()) == [("A", 1), ("B", 2)]
+def test_numbers_in_documents(spark):
+    ts = dt.datetime(2024, 1, 1)
+    texts = {
+        "float": '{"marketCap": 2500000000000.0, "fullTimeEmployees": 164000.0}',
+        "exponent": '{"marketCap": 2.5e12, "beta": 1e0}', "text": '{"marketCap": "2500000000000"}',
+        "bad": '{"marketCap": "n/a", "beta": "n/a", "trailingPE": 3, "sector": "T"}',
+        "part": '{"fullTimeEmployees": 12.5}', "large": '{"marketCap": 9007199254740993}',
+        "over": '{"marketCap": 1e30, "fullTimeEmployees": 3000000000}', "null": '{"marketCap": null}',
+        "nan": '{"marketCap": NaN}', "list": "[1]", "nantext": '{"beta": "NaN"}',
+    }
+    df = spark.createDataFrame([(k, v, ts) for k, v in texts.items()],
+                               "symbol string, doc string, ingested_at timestamp_ntz")
+    out = {r.symbol: r for r in docs.company_from_json(df).collect()}
+    for k in ("float", "exponent", "text"):
+        assert (out[k].market_cap, out[k].error) == (2_500_000_000_000, None), k
+    assert out["float"].employees == 164000 and out["exponent"].beta == 1.0
+    assert out["bad"].error == docs.UNREADABLE + "marketCap, beta"
+    assert (out["bad"].market_cap, out["bad"].pe_ratio, out["bad"].sector) == (None, 3.0, "T")
+    assert out["part"].error == docs.UNREADABLE + "fullTimeEmployees"
+    assert out["large"].market_cap == 9007199254740993
+    assert out["over"].error == docs.UNREADABLE + "marketCap, fullTimeEmployees"
+    assert out["null"].error is None and out["null"].market_cap is None
+    assert out["nan"].error == out["list"].error == docs.MALFORMED
+    assert out["nantext"].error == docs.UNREADABLE + "beta"
 
 
 def test_latest_date_of_empty_frame_is_null(spark):

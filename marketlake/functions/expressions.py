@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "col_", "safe_div", "pct_change_of", "alpha", "cap_category", "days_before", "age_days",
-    "parse_date", "as_date", "round_even", "pct_label", "pct_fixed", "thousands",
-    "stock_label", "fill0", "to_pct", "date_value", "CAP_BANDS", "MICRO_CAP",
+    "parse_date", "round_even", "pct_label", "pct_fixed", "thousands",
+    "stock_label", "date_value", "CAP_BANDS", "MICRO_CAP",
 ]
 
 # Market-cap bands, checked in this order (inclusive lower bounds, USD).
@@ -69,10 +69,6 @@ def parse_date(s) -> Column:
     return F.to_date(col_(s), "yyyy-MM-dd")
 
 
-def as_date(ts) -> Column:
-    return F.to_date(col_(ts))
-
-
 def round_even(x, digits: int = 2) -> Column:
     """numpy-style rounding: ``rint(x * 10^d) / 10^d`` (half to even on the scaled binary value).
 
@@ -82,19 +78,61 @@ def round_even(x, digits: int = 2) -> Column:
     return F.rint(col_(x) * F.lit(scale)) / F.lit(scale)
 
 
+def _signed(x, magnitude: Column) -> Column:
+    """``magnitude`` with a minus sign for negative values and negative zero."""
+    c = col_(x)
+    minus = (c < 0) | ((c == 0) & c.cast("string").startswith("-"))
+    return F.concat(F.when(minus, "-").otherwise(""), magnitude)
+
+
+def _hundredths(n: Column) -> Column:
+    """A whole number of hundredths with two decimals."""
+    whole = F.floor(n / F.lit(100.0)).cast("bigint")
+    return F.concat(whole.cast("string"), F.lit("."),
+                    F.lpad((n.cast("bigint") - whole * 100).cast("string"), 2, "0"))
+
+
+def _special(x: Column, text: Column) -> Column:
+    """``nan`` and ``inf`` as Python prints them; NULL is a missing number, so ``nan``."""
+    return (F.when(x.isNull() | F.isnan(x), F.lit("nan"))
+            .when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
+            .otherwise(text))
+
+
 def pct_label(x) -> Column:
-    """``str(round(x * 100, 2)) + '%'`` with NULL shown as ``nan%``.
+    """``str(round(x * 100, 2)) + '%'`` as numpy rounds and Python prints it.
 
-    Java prints magnitudes >= 1e7 or < 1e-3 in scientific notation where Python does not;
-    percentages of daily returns stay far inside that range.
+    Java turns to scientific notation at 1e7 and Python at 1e16; between them the decimal
+    digits are written out.
     """
-    scaled = round_even(col_(x) * F.lit(100.0), 2)
-    return F.concat(F.coalesce(scaled.cast("string"), F.lit("nan")), F.lit("%"))
+    y = round_even(col_(x) * F.lit(100.0), 2)
+    size = F.abs(y)
+    plain = F.regexp_replace(size.cast("decimal(38,2)").cast("string"), r"(\.\d)0$", "$1")
+    science = F.regexp_replace(F.regexp_replace(size.cast("string"), r"\.0E", "E"), "E", "e+")
+    return F.concat(_special(y, F.when(size < 1e7, y.cast("string")).otherwise(
+        _signed(y, F.when(size < 1e16, plain).otherwise(science)))), F.lit("%"))
 
 
 def pct_fixed(x) -> Column:
-    """``f"{x * 100:.2f}%"``. Java formats ties HALF_UP (0.125 -> 0.13; Python gives 0.12)."""
-    return F.format_string("%.2f%%", col_(x) * F.lit(100.0))
+    """``f"{x * 100:.2f}%"``: two decimals of the exact binary value, ties to even.
+
+    The product with 100 is taken without rounding error (Dekker's splitting), so a value
+    next to a tie falls to the right side. Exact below 2^53 hundredths; greater values are
+    whole numbers.
+    """
+    y = F.abs(col_(x) * F.lit(100.0))
+    p = y * F.lit(100.0)
+    big = y * F.lit(134217729.0)
+    high = big - (big - y)
+    error = (high * F.lit(100.0) - p) + (y - high) * F.lit(100.0)
+    low = F.floor(p).cast("double")
+    part = p - low
+    up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & (low % 2 == 1))))
+    small = _hundredths(low + F.when(up, 1.0).otherwise(0.0))
+    large = F.concat(y.cast("decimal(38,0)").cast("string"), F.lit(".00"))
+    y0 = col_(x) * F.lit(100.0)
+    return F.concat(_special(y0, _signed(y0, F.when(p < 2.0 ** 53, small).otherwise(large))),
+                    F.lit("%"))
 
 
 def thousands(n) -> Column:
@@ -108,14 +146,6 @@ def stock_label(symbol, name) -> Column:
                     F.coalesce(col_(name).cast("string"), F.lit("None")))
 
 
-def fill0(x) -> Column:
-    return F.coalesce(col_(x), F.lit(0.0))
-
-
-def to_pct(x) -> Column:
-    return col_(x) * F.lit(100.0)
-
-
 def date_value(d) -> Column:
     """A date given as a Column, a ``datetime.date`` or an ISO string, as a DATE Column."""
     if isinstance(d, Column):

@@ -29,8 +29,3 @@ def latest_rows(df: DataFrame, n: int = 30, symbol=None, keys: Sequence[str] = (
 def top_n(df: DataFrame, n: int, *order_cols) -> DataFrame:
     """``ORDER BY ... LIMIT n`` with an explicit order."""
     return df.orderBy(*order_cols).limit(n)
-
-
-def head_sample(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
-    """First ``n`` rows under an explicit order, so the sample is deterministic."""
-    return df.orderBy(*order).limit(n)

@@ -64,9 +64,9 @@ def test_formatting(spark):
                   E.pct_label("x").alias("pl"), E.pct_fixed("x").alias("pf"),
                   E.thousands("n").alias("th"), E.stock_label("s", "name").alias("lab")).collect()
     assert r[0].half_even == 0.12                      # numpy: 0.12; Spark round: 0.13
-    assert r[0].pl == "0.12%" and r[0].pf == "0.13%"   # pf is Java HALF_UP (documented)
+    assert r[0].pl == r[0].pf == "0.12%"
     assert r[0].th == "1,234,567" and r[0].lab == "AAPL - None"
-    assert r[1].pl == "nan%" and r[1].lab == "X - Name"
+    assert r[1].pl == r[1].pf == "nan%" and r[1].lab == "X - Name"
 
 
 def test_home_kpis_and_labels(spark):
@@ -101,22 +101,20 @@ def test_scalar_helpers(spark):
     import datetime as dt2
     df = spark.createDataFrame([("2024-01-31", dt2.datetime(2024, 1, 31, 23, 59), None, 0.5, 4.0)],
                                "s string, ts timestamp_ntz, n double, x double, p double")
-    r = df.select(E.parse_date("s").alias("d"), E.as_date("ts").alias("d2"),
-                  E.fill0("n").alias("f"), E.to_pct("x").alias("pct"),
+    r = df.select(E.parse_date("s").alias("d"),
                   E.days_before("2024-01-31", 30).alias("before"),
                   E.age_days("2024-02-08", E.parse_date("s")).alias("age"),
                   E.pct_change_of("x", "p").alias("chg"),
                   E.pct_change_of("x", "n").alias("chg_null"),
                   E.safe_div("x", F.lit(0.0)).alias("div0")).first()
-    assert r.d == D(2024, 1, 31) and r.d2 == D(2024, 1, 31)
-    assert r.f == 0.0 and r.pct == 50.0 and r.before == D(2024, 1, 1) and r.age == 8
+    assert r.d == D(2024, 1, 31)
+    assert r.before == D(2024, 1, 1) and r.age == 8
     assert r.chg == (0.5 - 4.0) / 4.0 and r.chg_null is None and r.div0 is None
 
 
-def test_head_sample_and_top_n(spark):
-    from marketlake.operators.topk import head_sample, top_n
+def test_top_n(spark):
+    from marketlake.operators.topk import top_n
     df = spark.createDataFrame([(i, 10 - i) for i in range(10)], "a int, b int")
-    assert [r.a for r in head_sample(df, ["b"], 3).collect()] == [9, 8, 7]
     assert [r.a for r in top_n(df, 2, F.col("a").desc()).collect()] == [9, 8]
 
 
@@ -130,3 +128,24 @@ def test_price_trend_window_is_inclusive_and_semi_joined(spark):
     assert [(r.symbol, r.date) for r in out] == [("A", D(2024, 1, 31)), ("A", D(2024, 1, 1))]
     latest = dash.price_trend(f, shown).collect()      # as_of defaults to the newest date
     assert len(latest) == 2
+
+
+def test_percent_texts_equal_python(spark):
+    import math
+    import random
+
+    import numpy as np
+    rng = random.Random(3)
+    values = [0.0, -0.0, 0.01005, 0.02675, 0.00125, 0.00135, -0.00125, 1e-9, -1e-9, 1.0, 9.99995, 1e6,
+              123456.789, 1e11, float("nan"), float("inf"), float("-inf"), None, 0.5, 12345.678912]
+    values += [rng.uniform(-0.2, 0.2) for _ in range(3000)]
+    values += [rng.randrange(-10**6, 10**6) / 10**k for k in (2, 3, 4, 5, 6) for _ in range(300)]
+    values += [rng.randrange(-4000, 4000) * 2.0 ** -rng.randrange(4, 16) for _ in range(1000)]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randrange(1, 9) for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    got = df.select("x", E.pct_fixed("x").alias("fixed"), E.pct_label("x").alias("label")).collect()
+    for r in got:
+        x = float("nan") if r.x is None else r.x
+        assert r.fixed == f"{x * 100:.2f}%", x
+        want = float(np.round(x * 100, 2)) if not math.isnan(x) else x
+        assert r.label == f"{want}%", x

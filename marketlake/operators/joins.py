@@ -1,26 +1,14 @@
-"""Equi left-outer joins of the models (J1-J5) and the broadcast policy.
+"""Equi left-outer joins of the models.
 
-Broadcast policy: a side is broadcast only when its size has a bound that does not grow
-with data volume, or when a measured row count is under the limit. Otherwise the join is
-left to a shuffle join, which AQE may still turn into a broadcast at runtime from the
-*measured* shuffle size (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+No side is hinted. Every join is planned as a shuffle join, and Spark itself turns it into
+a broadcast where the measured bytes of a side lie under the session's threshold
+(``spark.sql.autoBroadcastJoinThreshold``, at run time
+``spark.sql.adaptive.autoBroadcastJoinThreshold``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows a broadcast side may hold when its size is measured (e.g. from a write Observation).
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, row_count: int | None,
-                       max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only behind a measured size; beyond it (or unknown) use a shuffle join."""
-    if row_count is not None and row_count <= max_rows:
-        return F.broadcast(df)
-    return df
 
 
 def join_company(prices: DataFrame, company: DataFrame) -> DataFrame:
@@ -34,17 +22,12 @@ def join_company(prices: DataFrame, company: DataFrame) -> DataFrame:
     return prices.join(company, "symbol", "left")
 
 
-def join_benchmarks(prices: DataFrame, bench_by_date: DataFrame,
-                    bench_rows: int | None = None) -> DataFrame:
+def join_benchmarks(prices: DataFrame, bench_by_date: DataFrame) -> DataFrame:
     """prices LEFT JOIN benchmarks_pivot ON date.
 
-    The pivot holds one row per calendar date (at most 366 per year of history, ~60 bytes
-    each), a bound set by the calendar and independent of how many prices or symbols are
-    loaded, so it is broadcast and the partitioned fact is never re-shuffled by date. When
-    the caller has a measured row count above the limit, a shuffle join is used instead.
+    The pivot holds one row per date; its measured size decides between a broadcast and a
+    shuffle join.
     """
-    if bench_rows is None or bench_rows <= MAX_BROADCAST_ROWS:
-        bench_by_date = F.broadcast(bench_by_date)
     return prices.join(bench_by_date, "date", "left")
 
 

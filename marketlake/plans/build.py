@@ -5,21 +5,23 @@ The reference's "run the SQL models, then run their tests" step, as one Spark ap
 1. staging models are lazy views over the raw parquet tables;
 2. the stock dimension is written first, so the company model is computed once, and the
    fact joins the written dimension;
-3. the benchmark pivot is written next and its row count read back, so the fact's date
-   join broadcasts it only behind a measured size (a shuffle join beyond);
-4. the fact is written (the lineage is cut there, and the dashboard queries read the
-   written tables, not the raw history);
+3. the benchmark pivot is written next, so the fact's date join sees its real size;
+4. the fact is written, partitioned by month and sorted by symbol within files, so a trend or a
+   top-N reads the months it shows and skips row groups of other symbols;
 5. the checks of the raw tables and staging views are Observations on those writes; the
-   uniqueness checks read the written tables; failures raise.
+   uniqueness checks read the written tables;
+6. everything is written to a new build folder, and only a build whose checks pass is
+   published: the live tables are replaced folder by folder, by renames.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.operators.aggregates import pivot_benchmarks
-from marketlake.operators.joins import MAX_BROADCAST_ROWS, join_benchmarks, join_company
 from marketlake.operators import quality as q
 from marketlake.operators.quality import DataQualityError
 from marketlake.plans import checks, marts, staging
@@ -30,6 +32,36 @@ def _path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def write_fact(fact: DataFrame, path: str) -> None:
+    """The fact by month, in files of the advisory size, sorted by symbol and date."""
+    month = F.date_format("date", "yyyy-MM")
+    (fact.withColumn("month", month).hint("rebalance", "month")
+     .sortWithinPartitions("month", "symbol", "date")
+     .write.mode("overwrite").partitionBy("month").parquet(path))
+
+
+def read_fact(spark: SparkSession, path: str, since=None) -> DataFrame:
+    """The written fact; with ``since`` (a date) only the months that can hold later rows."""
+    fact = spark.read.parquet(path)
+    if since is not None:
+        fact = fact.filter((F.col("month") >= str(since)[:7]) & (F.col("date") >= F.lit(since)))
+    return fact.select(*marts.FACT_COLUMNS)
+
+
+def publish(spark: SparkSession, build_root: str, out_root: str) -> None:
+    """Put the tables of a finished build in the place of the live ones."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(build_root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path(build_root)):
+        live = path(out_root, status.getPath().getName())
+        if fs.exists(live):
+            fs.delete(live, True)
+        if not fs.rename(status.getPath(), live):
+            raise OSError(f"cannot publish {live}")
+    fs.delete(path(build_root), True)
+
+
 def build_marts(spark: SparkSession, raw_root: str, out_root: str, as_of,
                 fail_on_error: bool = True) -> dict:
     """Rebuild staging views and marts from the raw tables under ``raw_root``.
@@ -39,8 +71,12 @@ def build_marts(spark: SparkSession, raw_root: str, out_root: str, as_of,
     pivot, fact and dimension files), so they cost no extra pass over the raw data. Only
     the uniqueness checks read again, and they read the small written tables.
 
-    Returns ``{"fact_rows", "dim_rows", "pivot_rows", "pivot_broadcast", "checks"}``.
+    With failed checks the live tables stay as they are and the new ones are left in the
+    build folder (hidden from readers of ``out_root``) for a look.
+
+    Returns ``{"fact_rows", "dim_rows", "pivot_rows", "checks"}``.
     """
+    build_root = _path(out_root, f"_build-{uuid.uuid4().hex}")
     raw_prices = spark.read.parquet(_path(raw_root, "stock_prices_daily"))
     raw_company = spark.read.parquet(_path(raw_root, "company_info"))
     raw_bench = spark.read.parquet(_path(raw_root, "benchmark_series_daily"))
@@ -66,19 +102,18 @@ def build_marts(spark: SparkSession, raw_root: str, out_root: str, as_of,
     # 1. the dimension first: the company model is computed once, here
     dim_df = marts.dim_stocks(observed(stg_company, "stg_company_info"))
     dim = materialise(observed(dim_df, "dim_stocks"), "dim_stocks", "table",
-                      _path(out_root, "dim_stocks"))
+                      _path(build_root, "dim_stocks"))
     # 2. the benchmark pivot, with its measured size
-    pivot_path = _path(out_root, "benchmarks_pivot")
+    pivot_path = _path(build_root, "benchmarks_pivot")
     pivot_benchmarks(observed(stg_bench, "stg_benchmark_series")) \
         .write.mode("overwrite").parquet(pivot_path)
     pivot = spark.read.parquet(pivot_path)
     pivot_rows = pivot.count()  # a few thousand rows at most; the footers answer it
     # 3. the fact, joined to the written dimension (a projection of the company model)
-    fact_df = _fact(observed(stg_prices, "stg_stock_prices"), dim, pivot, pivot_rows)
-    observed(fact_df, "fact_daily_metrics").write.mode("overwrite") \
-        .parquet(_path(out_root, "fact_daily_metrics"))
-    fact = spark.read.parquet(_path(out_root, "fact_daily_metrics"))
-    fact.createOrReplaceTempView("fact_daily_metrics")
+    fact_df = marts.with_company(
+        marts.price_facts(observed(stg_prices, "stg_stock_prices"), pivot), dim)
+    write_fact(observed(fact_df, "fact_daily_metrics"), _path(build_root, "fact_daily_metrics"))
+    fact = read_fact(spark, _path(build_root, "fact_daily_metrics"))
 
     rows = _observed_rows(obs, as_of)
     # uniqueness: grouped passes over the written tables (the dimension is the company
@@ -89,13 +124,16 @@ def build_marts(spark: SparkSession, raw_root: str, out_root: str, as_of,
                            unique_combination=dict(checks.UNIQUE_COMBINATION)["fact_daily_metrics"])]
     rows += [r.asDict() for part in keyed for r in part.collect()]  # one row per check
     results = spark.createDataFrame(rows, q.RESULT_SCHEMA)
-    results.write.mode("overwrite").parquet(_path(out_root, "data_quality"))
+    results.write.mode("overwrite").parquet(_path(build_root, "data_quality"))
     failed = [r for r in rows if r["status"] == "fail"]
     if failed and fail_on_error:
         raise DataQualityError(f"{len(failed)} data-quality checks failed: {failed}")
+    publish(spark, build_root, out_root)
+    read_fact(spark, _path(out_root, "fact_daily_metrics")).createOrReplaceTempView(
+        "fact_daily_metrics")
+    spark.read.parquet(_path(out_root, "dim_stocks")).createOrReplaceTempView("dim_stocks")
     return {"fact_rows": int(obs["fact_daily_metrics"].get["rows"]),
-            "dim_rows": int(obs["dim_stocks"].get["rows"]), "pivot_rows": pivot_rows,
-            "pivot_broadcast": pivot_rows <= MAX_BROADCAST_ROWS, "checks": rows}
+            "dim_rows": int(obs["dim_stocks"].get["rows"]), "pivot_rows": pivot_rows, "checks": rows}
 
 
 def _observed_rows(obs: dict, as_of) -> list[dict]:
@@ -124,18 +162,3 @@ def _observed_rows(obs: dict, as_of) -> list[dict]:
 def _row(check, obj, column, observed, status) -> dict:
     return {"check_name": check, "object_name": obj, "column_name": column,
             "observed": observed, "status": status}
-
-
-def _fact(stg_prices: DataFrame, company: DataFrame, pivot: DataFrame,
-          pivot_rows: int) -> DataFrame:
-    """M5 over an already-written pivot whose row count is known; ``company`` is any frame
-    with the company model's symbol, sector, industry and market cap (the written dim)."""
-    from marketlake.functions.expressions import alpha, cap_category
-
-    prices = stg_prices.select("symbol", "date", "close", "adj_close", "volume", "daily_return",
-                               "daily_volatility", "price_change")
-    company = company.select("symbol", "sector", "industry", "market_cap")
-    joined = join_benchmarks(join_company(prices, company), pivot, pivot_rows)
-    return joined.select(*marts.FACT_COLUMNS[:-2],
-                         alpha("daily_return", "sp500_return").alias("alpha_vs_sp500"),
-                         cap_category("market_cap").alias("market_cap_category"))

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.expressions import pct_fixed, pct_label, round_even, stock_label, thousands
+from marketlake.functions.expressions import (cap_category, pct_fixed, pct_label, round_even,
+                                              stock_label, thousands)
 from marketlake.operators import aggregates as agg
 from marketlake.operators.filters import ALL, recent, screen
 from marketlake.operators.joins import dim_with_fact, semi_by
@@ -79,17 +80,26 @@ def screener_count(screened: DataFrame) -> DataFrame:
     return screened.agg(F.count(F.lit(1)).alias("n_stocks"))
 
 
-def price_trend(fact: DataFrame, screened: DataFrame, as_of=None, days: int = 30) -> DataFrame:
+def price_trend(facts: DataFrame, screened: DataFrame, as_of=None, days: int = 30) -> DataFrame:
     """The screened symbols' rows of the trailing ``days`` calendar days, newest first.
 
-    ``as_of`` defaults to the latest loaded date (a scalar subquery), never the clock.
+    ``screened`` is any frame with the symbols to show; :func:`screened_symbols` gives them
+    from the dimension alone. ``as_of`` defaults to the latest loaded date (a scalar
+    subquery), never the clock.
     """
     if as_of is None:
-        as_of = fact.select(F.max("date")).scalar()
-    rows = semi_by(fact.select("symbol", "date", "close", "daily_return"), screened)
+        as_of = facts.select(F.max("date")).scalar()
+    rows = semi_by(facts.select("symbol", "date", "close", "daily_return"), screened)
     return recent(rows, as_of, days).orderBy(F.col("date").desc())
 
 
+def screened_symbols(dim: DataFrame, sector: str = ALL, cap: str = ALL, symbol=ALL) -> DataFrame:
+    """The symbols a screener selection shows. Sector and cap band belong to the company, so
+    the fact isn't needed; a symbol without facts has no rows to show either."""
+    banded = dim.withColumn("market_cap_category", cap_category("market_cap"))
+    return screen(banded, sector, cap, symbol).select("symbol")
+
+
 COMPARISON_COLUMNS = ["symbol", "date", "close", "daily_return", "sp500_value", "sp500_return",
                       "alpha_vs_sp500", "vix_value"]
 

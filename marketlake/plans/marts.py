@@ -25,23 +25,27 @@ def dim_stocks(stg_company: DataFrame) -> DataFrame:
     return stg_company.select(*DIM_COLUMNS, F.col("ingested_at").alias("last_updated"))
 
 
-def fact_daily_metrics(stg_prices: DataFrame, stg_company: DataFrame, stg_bench: DataFrame,
-                       bench_rows: int | None = None) -> DataFrame:
+def price_facts(stg_prices: DataFrame, pivot: DataFrame) -> DataFrame:
+    """The part of the fact that needs no company: prices, their metrics, the benchmarks of
+    the date and the excess return."""
+    prices = stg_prices.select("symbol", "date", "close", "adj_close", "volume", "daily_return",
+                               "daily_volatility", "price_change")
+    return join_benchmarks(prices, pivot).withColumn(
+        "alpha_vs_sp500", alpha("daily_return", "sp500_return"))
+
+
+def with_company(facts: DataFrame, company: DataFrame) -> DataFrame:
+    """M5: :func:`price_facts` with the company attributes and the cap band of the symbol."""
+    sectors = company.select("symbol", "sector", "industry", "market_cap")
+    return join_company(facts, sectors).withColumn(
+        "market_cap_category", cap_category("market_cap")).select(*FACT_COLUMNS)
+
+
+def fact_daily_metrics(stg_prices: DataFrame, stg_company: DataFrame,
+                       stg_bench: DataFrame) -> DataFrame:
     """M5: one row per symbol and date with company attributes, the benchmark pivot, the
     excess return and the cap band.
 
-    Plan: prices leave their per-symbol window hash-partitioned by symbol; the company
-    side (also windowed by symbol) joins without re-shuffling the prices; the per-date
-    benchmark pivot is broadcast (bounded by the calendar). Columns not used downstream
-    (open, high, low, volume_ma5) are pruned before the joins.
+    Columns not used downstream (open, high, low, volume_ma5) are pruned before the joins.
     """
-    prices = stg_prices.select("symbol", "date", "close", "adj_close", "volume", "daily_return",
-                               "daily_volatility", "price_change")
-    company = stg_company.select("symbol", "sector", "industry", "market_cap")
-    bench = pivot_benchmarks(stg_bench)
-    joined = join_benchmarks(join_company(prices, company), bench, bench_rows)
-    return joined.select(
-        *FACT_COLUMNS[:-2],
-        alpha("daily_return", "sp500_return").alias("alpha_vs_sp500"),
-        cap_category("market_cap").alias("market_cap_category"),
-    )
+    return with_company(price_facts(stg_prices, pivot_benchmarks(stg_bench)), stg_company)

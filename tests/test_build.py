@@ -20,8 +20,8 @@ def raw_root(spark, tmp_dir):
 def test_build_marts_matches_queries(spark, raw_root, tmp_dir):
     out = f"{tmp_dir}/marts"
     res = build.build_marts(spark, raw_root, out, as_of="2024-02-08")
-    assert res["pivot_broadcast"] and res["pivot_rows"] == 30
-    fact = spark.read.parquet(f"{out}/fact_daily_metrics")
+    assert res["pivot_rows"] == 30
+    fact = build.read_fact(spark, f"{out}/fact_daily_metrics")
     lazy = catalog.fact(spark, SF_SMALL)
     assert fact.columns == lazy.columns
     assert fact.exceptAll(lazy).count() == 0 and lazy.exceptAll(fact).count() == 0
@@ -50,3 +50,27 @@ def test_build_checks_equal_lazy_suite(spark, raw_root, tmp_dir):
     assert got == sorted(tuple(r) for r in lazy.select("check_name", "object_name",
                                                        "column_name", "observed",
                                                        "status").collect())
+
+
+def test_failed_build_leaves_the_live_tables(spark, raw_root, tmp_dir):
+    from pyspark.sql import functions as F
+    out = f"{tmp_dir}/marts4"
+    build.build_marts(spark, raw_root, out, as_of="2024-02-08")
+    before = build.read_fact(spark, f"{out}/fact_daily_metrics").count()
+    prices = spark.read.parquet(f"{raw_root}/stock_prices_daily")
+    prices.limit(3).withColumn("close", F.lit(None).cast("double")) \
+        .write.mode("append").parquet(f"{raw_root}/stock_prices_daily")
+    with pytest.raises(DataQualityError):
+        build.build_marts(spark, raw_root, out, as_of="2024-02-08")
+    assert build.read_fact(spark, f"{out}/fact_daily_metrics").count() == before
+    res = build.build_marts(spark, raw_root, out, as_of="2024-02-08", fail_on_error=False)
+    assert res["fact_rows"] == build.read_fact(spark, f"{out}/fact_daily_metrics").count()
+
+
+def test_fact_prunes_months(spark, raw_root, tmp_dir):
+    out = f"{tmp_dir}/marts5"
+    build.build_marts(spark, raw_root, out, as_of="2024-02-08")
+    some = build.read_fact(spark, f"{out}/fact_daily_metrics", since="2024-01-20")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    assert 0 < some.count() < build.read_fact(spark, f"{out}/fact_daily_metrics").count()

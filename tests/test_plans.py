@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
+from marketlake.plans.catalog import QUERIES  # noqa: E402
 
 
 def plan_of(df) -> str:
@@ -66,23 +66,26 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(c_mktsegment), EqualTo(c_mktsegment,BUILDING)" in plan
 
 
-def test_broadcast_only_behind_a_measured_size(spark):
-    from marketlake.operators.joins import broadcast_if_small, join_benchmarks
+def test_no_join_is_hinted(spark):
+    """With the size threshold off, no data join is a broadcast."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # isolate the hint
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = spark.range(100).selectExpr("id", "date_add(date'2024-01-01', cast(id % 7 as int)) AS date")
-        small = spark.range(7).selectExpr("date_add(date'2024-01-01', cast(id as int)) AS date",
-                                          "id AS v")
-
-        def plan(df):
-            return df._jdf.queryExecution().executedPlan().toString()
-
-        assert "BroadcastHashJoin" in plan(big.join(broadcast_if_small(small, 7, 10), "date"))
-        assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_small(small, 11, 10), "date"))
-        assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_small(small, None), "date"))
-        # the pivot join: broadcast unless a measured size says otherwise
-        assert "BroadcastHashJoin" in plan(join_benchmarks(big, small))
-        assert "BroadcastHashJoin" not in plan(join_benchmarks(big, small, bench_rows=10**9))
+        for name in ("fact_daily_metrics", "fact_long_history", "price_trend"):
+            assert "BroadcastHashJoin" not in plan_of(QUERIES[name](spark, SF_SMALL)), name
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_queries_without_company_columns_have_no_company_join(spark):
+    for name in ("home_kpis", "vix_overlay", "benchmark_comparison", "performance_stats"):
+        plan = plan_of(QUERIES[name](spark, SF_SMALL))
+        if name != "home_kpis":  # its stock count reads the dimension on its own
+            assert "customer" not in plan, name
+        assert not re.search(r"Join \[symbol", plan), name
+
+
+def test_price_trend_deduplicates_prices_once(spark):
+    plan = plan_of(QUERIES["price_trend"](spark, SF_SMALL))
+    partial = re.findall(r"WindowGroupLimit \[symbol#\d+L?, date#\d+\].*Partial", plan)
+    assert len(partial) == 1

@@ -6,15 +6,16 @@ lazy DataFrame; nothing is collected here.
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.functions.expressions import age_days, days_before, parse_date, round_even
 from marketlake.operators.aggregates import (batch_profile, distinct_values, pivot_benchmarks,
                                              row_counts)
 from marketlake.operators.filters import incremental, restrict, select_range
+from marketlake.operators import quality as q
 from marketlake.operators.quality import orphan_rows
 from marketlake.operators.topk import top_n
 from marketlake.operators.windows import entity_window, moving_avg
@@ -39,64 +40,39 @@ def query(name: str):
 
 
 # --- model builders over the fixture tables -------------------------------------------
-# A model is a lazy plan; it is defined once per session and directory and then referenced
-# by every query that needs it (like a staging view), so the driver does not re-analyse
-# the same sub-plans for each branch of a composite query.
-# Keyed by the session object itself (weakly), so a stopped and replaced session never
-# receives plans bound to its predecessor.
-_MODELS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
-def model(name: str):
-    def deco(build):
-        def get(spark, d):
-            per_session = _MODELS.setdefault(spark, {})
-            key = (d, name)
-            if key not in per_session:
-                per_session[key] = build(spark, d)
-            return per_session[key]
-        get.__name__ = build.__name__
-        return get
-    return deco
-
-
-@model("raw_prices")
 def raw_prices(spark, d):
     return fx.raw_prices(spark, d)
 
 
-@model("raw_company")
 def raw_company(spark, d):
     return fx.raw_company(spark, d)
 
 
-@model("raw_bench")
 def raw_bench(spark, d):
     return fx.raw_benchmarks(spark, d)
 
 
-@model("stg_prices")
 def stg_prices(spark, d):
     return staging.stg_stock_prices(raw_prices(spark, d))
 
 
-@model("stg_company")
 def stg_company(spark, d):
     return staging.stg_company_info(raw_company(spark, d))
 
 
-@model("stg_bench")
 def stg_bench(spark, d):
     return staging.stg_benchmark_series(raw_bench(spark, d))
 
 
-@model("fact")
 def fact(spark, d):
     return marts.fact_daily_metrics(stg_prices(spark, d), stg_company(spark, d),
                                     stg_bench(spark, d))
 
 
-@model("dim")
+def price_facts(spark, d):
+    return marts.price_facts(stg_prices(spark, d), pivot_benchmarks(stg_bench(spark, d)))
+
+
 def dim(spark, d):
     return marts.dim_stocks(stg_company(spark, d))
 
@@ -141,7 +117,7 @@ DISPLAY_ROWS = 30
 
 @query("home_kpis")
 def q_home_kpis(spark, d):
-    return dash.home_kpis(dim(spark, d), fact(spark, d))
+    return dash.home_kpis(dim(spark, d), price_facts(spark, d))
 
 
 @query("stock_summary")
@@ -162,27 +138,26 @@ def q_screener_count(spark, d):
 
 @query("price_trend")
 def q_price_trend(spark, d):
-    f = fact(spark, d)
     # the latest loaded date: the fact holds one row per deduplicated price, so its newest
     # date is the raw table's, read from one column instead of re-running the dedup
     as_of = raw_prices(spark, d).select(F.max("date")).scalar()
-    return dash.price_trend(f, dash.screener(dim(spark, d), f, SCREEN_SECTOR, SCREEN_CAP),
-                            as_of)
+    return dash.price_trend(price_facts(spark, d),
+                            dash.screened_symbols(dim(spark, d), SCREEN_SECTOR, SCREEN_CAP), as_of)
 
 
 @query("benchmark_comparison")
 def q_benchmark_comparison(spark, d):
-    return dash.benchmark_comparison(fact(spark, d), DISPLAY_ROWS)
+    return dash.benchmark_comparison(price_facts(spark, d), DISPLAY_ROWS)
 
 
 @query("performance_stats")
 def q_performance_stats(spark, d):
-    return dash.performance_stats(fact(spark, d), DISPLAY_ROWS)
+    return dash.performance_stats(price_facts(spark, d), DISPLAY_ROWS)
 
 
 @query("vix_overlay")
 def q_vix_overlay(spark, d):
-    return dash.vix_overlay(fact(spark, d), DISPLAY_ROWS)
+    return dash.vix_overlay(price_facts(spark, d), DISPLAY_ROWS)
 
 
 @query("stock_choices")
@@ -226,7 +201,7 @@ def q_data_quality(spark, d):
 
 @query("fact_orphans")
 def q_fact_orphans(spark, d):
-    return orphan_rows(fact(spark, d), dim(spark, d))
+    return orphan_rows(price_facts(spark, d), dim(spark, d))
 
 
 # --- sources: S1-S16 ---------------------------------------------------------------------------
@@ -321,3 +296,165 @@ def q_long_ma20(spark, d):
     w = entity_window(["symbol"])
     return p.select("symbol", "date", "close", "volume_ma5",
                     moving_avg("close", w, 20).alias("close_ma20"))
+
+
+# --- inputs with gaps, part matches and windows that cut -------------------------------------
+
+
+def shifted_facts(spark, d):
+    """The price part of the fact over a long history whose last days have benchmarks."""
+    prices = staging.stg_stock_prices(fx.shifted_long_prices(spark, d), fx.LONG_HISTORY_TIE)
+    return marts.price_facts(prices, pivot_benchmarks(stg_bench(spark, d)))
+
+
+@query("fact_mixed_match")
+def q_fact_mixed(spark, d):
+    """M5 where only some symbols have a company and only some dates a benchmark."""
+    prices = staging.stg_stock_prices(fx.shifted_long_prices(spark, d, by_part=True),
+                                      fx.LONG_HISTORY_TIE)
+    return marts.fact_daily_metrics(prices, stg_company(spark, d), stg_bench(spark, d))
+
+
+@query("comparison_long_history")
+def q_comparison_long(spark, d):
+    return dash.benchmark_comparison(shifted_facts(spark, d), DISPLAY_ROWS)
+
+
+@query("stats_long_history")
+def q_stats_long(spark, d):
+    return dash.performance_stats(shifted_facts(spark, d), DISPLAY_ROWS)
+
+
+@query("vix_long_history")
+def q_vix_long(spark, d):
+    return dash.vix_overlay(shifted_facts(spark, d), DISPLAY_ROWS)
+
+
+@query("price_trend_long_history")
+def q_trend_long(spark, d):
+    """The trailing 30 days of a long history (of all its symbols)."""
+    facts = shifted_facts(spark, d)
+    return dash.price_trend(facts, facts.select("symbol"))
+
+
+@query("zero_price_returns")
+def q_zero_prices(spark, d):
+    staged = staging.stg_stock_prices(fx.prices_with_gaps(spark, d))
+    return staged.select("symbol", "date", "close", "daily_return", "daily_volatility")
+
+
+@query("prices_long_gaps")
+def q_prices_long_gaps(spark, d):
+    return reshape.prices_long(fx.wide_bars_with_gaps(spark, d), fx.WIDE_REQUEST)
+
+
+@query("benchmark_long_gaps")
+def q_benchmark_long_gaps(spark, d):
+    return reshape.benchmark_long(fx.wide_bars_with_gaps(spark, d), fx.WIDE_REQUEST)
+
+
+@query("raw_table_checks")
+def q_raw_table_checks(spark, d):
+    """The single checks over raw tables that have gaps, versions and unknown symbols."""
+    prices, company = fx.prices_with_gaps(spark, d), raw_company(spark, d)
+    return q.union_checks([
+        q.check_not_null(prices, ["symbol", "close"], "prices"),
+        q.check_unique(company, "symbol", "company"),
+        q.check_unique_combination(prices, ["symbol", "date"], "prices"),
+        q.check_non_empty(prices, "prices"),
+        q.check_freshness(prices, "prices", DQ_AS_OF),
+        q.orphan_rows(fx.shifted_long_prices(spark, d, by_part=True), company, obj="long"),
+    ])
+
+
+# --- forms of a download, documents and display ----------------------------------------------
+
+
+@query("prices_single")
+def q_prices_single(spark, d):
+    return reshape.prices_single(fx.flat_download(spark, d, "view"), "^GSPC")
+
+
+@query("benchmark_single")
+def q_benchmark_single(spark, d):
+    return reshape.benchmark_single(fx.flat_download(spark, d, "error"), "^VIX")
+
+
+@query("prices_range")
+def q_prices_range(spark, d):
+    return select_range(raw_prices(spark, d), start="2024-01-05", end="2024-01-20")
+
+
+@query("coerced_dates")
+def q_coerced_dates(spark, d):
+    ev = read_table(spark, d, "events")
+    return raw_store.coerce_dates(ev.select("event_id", F.col("ts").alias("trade_date"),
+                                            F.col("ts").alias("seen_at")))
+
+
+@query("bound_sql")
+def q_bound_sql(spark, d):
+    raw_prices(spark, d).createOrReplaceTempView("bound_sql_prices")
+    return raw_store.run_sql(
+        spark, "SELECT symbol, date, close FROM bound_sql_prices "
+               "WHERE date >= CAST(:since AS DATE) AND close > :floor",
+        since="2024-01-10", floor=50.0)
+
+
+# The symbol of the one-symbol forms (a parameter).
+SHOWN_SYMBOL = 7
+
+
+@query("symbol_latest_prices")
+def q_symbol_latest(spark, d):
+    """The ten latest prices of one symbol."""
+    rows = stg_prices(spark, d).where(F.col("symbol") == SHOWN_SYMBOL)
+    return top_n(rows, 10, F.col("date").desc()).select("symbol", "date", "close", "volume")
+
+
+@query("comparison_display")
+def q_comparison_display(spark, d):
+    """One symbol's comparison with cumulative returns in percent."""
+    rows = dash.benchmark_comparison(price_facts(spark, d), DISPLAY_ROWS, SHOWN_SYMBOL)
+    return rows.select("symbol", "date", "stock_index", "sp500_index",
+                       (F.col("cum_return") * 100.0).alias("cum_return_pct"),
+                       (F.col("sp500_cum_return") * 100.0).alias("sp500_cum_return_pct"))
+
+
+@query("screener_display")
+def q_screener_display(spark, d):
+    return dash.screener_display(dash.screener(dim(spark, d), fact(spark, d)))
+
+
+@query("performance_labels")
+def q_performance_labels(spark, d):
+    return dash.performance_labels(dash.performance_stats(price_facts(spark, d), DISPLAY_ROWS))
+
+
+@query("company_numbers")
+def q_company_numbers(spark, d):
+    return docs.company_from_json(fx.number_documents(spark, d)).select(
+        "symbol", "sector", "market_cap", "employees", "error")
+
+
+@query("ragged_records")
+def q_ragged_records(spark, d):
+    raw = raw_company(spark, d)
+    good = raw.where("error IS NULL").select("symbol", "company_name", "ingested_at")
+    return docs.company_records(good, raw.where("error IS NOT NULL").select(
+        "symbol", "ingested_at", "error"))
+
+
+@query("date_parts")
+def q_date_parts(spark, d):
+    ev = read_table(spark, d, "events").withColumn("date", F.to_date("ts"))
+    return ev.select("event_id", days_before(F.col("date"), 30).alias("before"),
+                     parse_date(F.date_format("ts", "yyyy-MM-dd")).alias("parsed"),
+                     age_days(DQ_AS_OF, "date").cast("bigint").alias("age"))
+
+
+@query("rounded_prices")
+def q_rounded_prices(spark, d):
+    ev = read_table(spark, d, "events")
+    return ev.select("event_id", round_even(F.col("value") / 8, 2).alias("rounded"),
+                     round_even(F.col("event_id") / 8, 2).alias("ties"))

@@ -246,7 +246,7 @@ def ingest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         day = F.to_date("ingested_at")
         return df.groupBy(day.alias("day")).agg(
             F.max("ingested_at").alias("run_timestamp"),
-            F.count(F.lit(1)).cast("int").alias("records_loaded"),
+            F.count(F.lit(1)).alias("records_loaded"),
         ).select(
             F.concat(F.lit("run_"), F.date_format("day", "yyyyMMdd"), F.lit(f"_{dataset}"))
              .alias("run_id"),
@@ -256,3 +256,77 @@ def ingest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     return runs(raw_prices(spark, sf_dir), "stock_prices", "stock_prices_daily").unionByName(
         runs(raw_benchmarks(spark, sf_dir), "benchmark_series", "benchmark_series_daily"))
+
+
+# --- inputs that make every operator do something --------------------------------------------
+# Days that bring the end of the long history to 2024-01-20, into the events' month.
+LONG_SHIFT_DAYS = 8112
+
+
+def shifted_long_prices(spark: SparkSession, sf_dir: str, by_part: bool = False) -> DataFrame:
+    """The long history moved so that only its last days have benchmark rows.
+
+    With ``by_part`` the symbol is the part number: those below the number of customers have a
+    company, the others none.
+    """
+    raw = raw_long_prices(spark, sf_dir)
+    if by_part:
+        li = read_table(spark, sf_dir, "lineitem")
+        close = F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))
+        raw = li.select(
+            F.col("l_partkey").alias("symbol"), F.to_date("l_shipdate").alias("date"),
+            (close * F.lit(0.5)).alias("open"), (close * F.lit(1.25)).alias("high"),
+            (close * F.lit(0.75)).alias("low"), close.alias("close"), close.alias("adj_close"),
+            F.col("l_quantity").cast("bigint").alias("volume"),
+            F.col("l_shipdate").alias("ingested_at"),
+            F.concat(F.lit("run_"), F.col("l_orderkey").cast("string")).alias("source_run_id"),
+            *LONG_HISTORY_TIE)
+    return raw.withColumn("date", F.date_add("date", LONG_SHIFT_DAYS))
+
+
+def prices_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw prices in which every seventh event has no close and every fourth a close of 0."""
+    n = F.regexp_extract("source_run_id", r"(\d+)", 1).cast("bigint")
+    return raw_prices(spark, sf_dir).withColumn(
+        "close", F.when(n % 7 == 0, F.lit(None)).when(n % 4 == 0, F.lit(0.0)).otherwise(F.col("close")))
+
+
+def wide_bars_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide download with NaN closes every third day and no volume every fifth."""
+    wide = wide_daily_bars(spark, sf_dir)
+    day = F.dayofmonth("Date")
+    for ticker, _ in EVENT_TYPE_SERIES:
+        bar = F.col(ticker)
+        wide = wide.withColumn(ticker, bar.withField(
+            "Close", F.when(day % 3 == 0, F.lit(float("nan"))).otherwise(bar["Close"])).withField(
+            "Volume", F.when(day % 5 == 0, F.lit(None)).otherwise(bar["Volume"])))
+    return wide
+
+
+def flat_download(spark: SparkSession, sf_dir: str, ticker: str) -> DataFrame:
+    """The one-ticker form of the wide download: flat columns."""
+    from marketlake.sources.reshape import WIDE_FIELDS
+    wide = wide_daily_bars(spark, sf_dir)
+    return wide.where(F.col(ticker).isNotNull()).select(
+        "Date", *[F.col(ticker)[f].alias(f) for f in WIDE_FIELDS])
+
+
+def number_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per customer whose numbers are written in the forms JSON producers use."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey").cast("string")
+    cap = (F.col("c_custkey").cast("bigint") * 1_000_000).cast("string")
+    forms = [
+        F.concat(F.lit('{"marketCap": '), cap, F.lit('.0, "fullTimeEmployees": '), k, F.lit(".0}")),
+        F.concat(F.lit('{"marketCap": '), k, F.lit("e6}")),
+        F.concat(F.lit('{"marketCap": "'), cap, F.lit('"}')),
+        F.lit('{"marketCap": "n/a", "sector": "S"}'),
+        F.lit('{"marketCap": NaN}'),
+        F.concat(F.lit('{"fullTimeEmployees": '), k, F.lit('.5, "marketCap": '), cap, F.lit("}")),
+        F.lit('{"marketCap": null}'),
+    ]
+    doc = F.concat(F.lit('{"marketCap": '), cap, F.lit("}"))
+    for i, form in reversed(list(enumerate(forms))):
+        doc = F.when(F.col("c_custkey") % 8 == i, form).otherwise(doc)
+    return c.select(F.col("c_custkey").alias("symbol"), doc.alias("doc"),
+                    F.to_timestamp_ntz(F.lit(COMPANY_SNAPSHOT_TS)).alias("ingested_at"))

@@ -10,8 +10,9 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 from tools.oracle_compare import TABLES, compare, rows_of
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from marketlake.plans.catalog import QUERIES
+from marketlake.plans.oracle import ORACLE
+
 SF = os.environ.get("MARKETLAKE_ORACLE_SF", SF_SMALL)
 
 
@@ -40,6 +41,11 @@ def test_matches_oracle(spark, con, name):
     assert exact, f"max abs diff {worst}"
 
 
+def test_entry_serves_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+    assert all(entry.oracle_sql()[k] == v for k, v in ORACLE.items())
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0

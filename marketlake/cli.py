@@ -16,6 +16,7 @@ import argparse
 import json
 
 from marketlake.schemas import RAW_TABLES
+from marketlake.streaming.extract import SHAPES, extract_rows
 
 # Dataset name of each raw table (the run log and watermark keys).
 DATASETS = {"stock_prices_daily": "stock_prices", "company_info": "company_info",
@@ -30,6 +31,13 @@ def main(argv: list[str] | None = None) -> dict:
     ing.add_argument("--table", required=True, choices=sorted(DATASETS))
     ing.add_argument("--root", required=True, help="folder of the raw and metadata tables")
     ing.add_argument("--format", default="parquet")
+    ing.add_argument("--shape", choices=sorted(SHAPES), help="shape of a download; without it the "
+                     "files hold rows of the raw table")
+    ing.add_argument("--symbols", default="", help="universe of a download, comma-separated")
+    ing.add_argument("--start")
+    ing.add_argument("--end")
+    ing.add_argument("--period", default="max")
+    ing.add_argument("--as-of", help="last day of the period")
     ver = sub.add_parser("verify", help="check the raw tables: non-empty, fresh prices")
     ver.add_argument("--root", required=True)
     ver.add_argument("--as-of", required=True, help="evaluation date of the freshness check")
@@ -47,12 +55,22 @@ def main(argv: list[str] | None = None) -> dict:
         from marketlake.streaming.landing import ingest_landed
         dataset = DATASETS[args.table]
         date_col = None if args.table == "company_info" else "date"
+        schema, transform = _landed_schema(args.table), None
+        if args.shape:
+            if SHAPES[args.shape] != args.table:
+                ap.error(f"{args.shape} feeds {SHAPES[args.shape]}")
+            symbols = [s for s in args.symbols.split(",") if s]
+            schema = spark.read.format(args.format).load(args.landing).schema
+
+            def transform(df):
+                return extract_rows(df, args.shape, symbols, args.start, args.end, args.period,
+                                    args.as_of)
         results = ingest_landed(
-            spark, args.landing, _landed_schema(args.table), f"{root}/{args.table}", dataset,
+            spark, args.landing, schema, f"{root}/{args.table}", dataset,
             runs_path=f"{root}/ingest_runs",
             watermark_root=f"{root}/watermarks" if date_col else None,
             file_format=args.format, date_col=date_col or "date",
-            partition_by=[date_col] if date_col else None)
+            partition_by=[date_col] if date_col else None, transform=transform)
         out = {"batches": results}
     elif args.cmd == "verify":
         out = {"checks": verify_raw(spark, root, args.as_of)}

@@ -13,6 +13,7 @@ dedup collapses.
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -27,13 +28,16 @@ def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType, r
                   watermark_root: str | None = None, checkpoint: str | None = None,
                   file_format: str = "parquet", date_col: str = "date",
                   max_files_per_trigger: int | None = None,
-                  partition_by: list[str] | None = None) -> list[dict]:
+                  partition_by: list[str] | None = None,
+                  transform: Callable[[DataFrame], DataFrame] | None = None) -> list[dict]:
     """Append every landed file not loaded before; returns one load result per micro-batch.
 
     ``checkpoint`` defaults to a folder inside the raw table (hidden from its readers), one
     per landing folder: every raw table keeps its own account of what it has loaded,
     whichever process or session loads it.
 
+    ``transform`` turns a batch of landed rows into rows of the raw table.
+
     A batch whose run is already logged as completed is not loaded again. A result tells
     whether its run log row (``logged``) and its watermark (``watermark_set``) were written.
     """
@@ -49,7 +53,8 @@ def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType, r
         if run_completed(spark, runs_path, run_id):
             results.append({"run_id": run_id, "records_loaded": 0, "status": "replayed"})
             return
-        res = load_to_raw(batch, raw_path, dataset_name, runs_path=runs_path,
+        rows = transform(batch) if transform else batch
+        res = load_to_raw(rows, raw_path, dataset_name, runs_path=runs_path,
                           create_table=True, date_col=date_col, run_id=run_id,
                           partition_by=partition_by)
         if watermark_root and res.get("watermark"):

@@ -104,3 +104,36 @@ def test_each_raw_table_keeps_its_own_account(spark, tmp_dir):
                               runs_path=f"{tmp_dir}/{root}/runs")
         assert sum(r["records_loaded"] for r in again) == 0
         assert spark.read.parquet(f"{tmp_dir}/{root}/prices").count() == df.count()
+
+
+def test_cli_ingests_downloads(spark, tmp_dir):
+    """Wide, single and document extracts land as rows of the raw tables."""
+    from marketlake import cli
+    from marketlake.sources import reshape
+    wide = fx.wide_bars_with_gaps(spark, SF_SMALL)
+    wide.coalesce(1).write.parquet(f"{tmp_dir}/wide/a")
+    tickers = ["view", "click", "gone"]
+    args = ["ingest", "--table", "stock_prices_daily", "--root", f"{tmp_dir}/raw", "--landing",
+            f"{tmp_dir}/wide/*", "--shape", "wide-prices", "--symbols", ",".join(tickers)]
+    out = cli.main([*args, "--start", "2024-01-05", "--end", "2024-01-20"])
+    want = reshape.prices_long(wide, tickers).where("date >= '2024-01-05' AND date < '2024-01-20'")
+    stored = spark.read.parquet(f"{tmp_dir}/raw/stock_prices_daily")
+    cols = reshape.PRICE_LONG_COLUMNS
+    assert sorted(stored.select(cols).collect()) == sorted(want.select(cols).collect())
+    assert sum(b["records_loaded"] for b in out["batches"]) == want.count() > 0
+    assert stored.where("ingested_at IS NULL OR source_run_id IS NULL").count() == 0
+
+    fx.flat_download(spark, SF_SMALL, "error").coalesce(1).write.parquet(f"{tmp_dir}/vix/a")
+    cli.main(["ingest", "--table", "benchmark_series_daily", "--root", f"{tmp_dir}/raw", "--landing",
+              f"{tmp_dir}/vix/*", "--shape", "single-benchmark", "--symbols", "^VIX",
+              "--period", "5d", "--as-of", "2024-01-30"])
+    dates = spark.read.parquet(f"{tmp_dir}/raw/benchmark_series_daily").select("date").collect()
+    assert dates and min(str(r.date) for r in dates) >= "2024-01-26"
+
+    fx.number_documents(spark, SF_SMALL).drop("ingested_at").coalesce(1).write.parquet(
+        f"{tmp_dir}/docs/a")
+    cli.main(["ingest", "--table", "company_info", "--root", f"{tmp_dir}/raw", "--landing",
+              f"{tmp_dir}/docs/*", "--shape", "profiles", "--symbols", "1,2,3,11"])
+    rows = spark.read.parquet(f"{tmp_dir}/raw/company_info").collect()
+    assert sorted(r.symbol for r in rows) == [1, 2, 3, 11]
+    assert {r.symbol: r.error for r in rows}[3] == "unreadable fields: marketCap"

@@ -197,23 +197,33 @@ def near_duplicates_removed(docs: DataFrame, shingle: int = SHINGLE,
     """One row of each component, with the columns of ``docs``.
 
     The row with the component's id stays; of rows that share it (or where there is no id) one
-    with the least fingerprint, then the least text.
+    with the least fingerprint, then the least text. Texts move only where an id is missing or
+    repeated; the other rows are told by the ids that go.
     """
+    prints = written(docs.select("doc_id", "text").mapInArrow(
+        _fingerprints(shingle, "fp", ["doc_id"]), "doc_id long, fp long"), "fingerprints")
+    table = _component_table(prints, max_bits)
+    shared = written(prints.groupBy("doc_id").agg(F.count("*").alias("n"))
+                     .where("n > 1 OR doc_id IS NULL").select("doc_id"), "shared")
+    found = prints.join(table, "fp")
+    gone = written(found.where("doc_id != component_id").select("doc_id")
+                   .unionByName(shared.where("doc_id IS NOT NULL")).distinct(), "gone")
+    single = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
+
+    kept = written(
+        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root", "doc_id").agg(F.min("fp").alias("fp")).drop("root"), "kept")
     name = "fp"
     while name in docs.columns:
         name += "_"
     schema = StructType([*docs.schema.fields, StructField(name, LongType())])
-    marked = written(docs.mapInArrow(_fingerprints(shingle, name, docs.columns), schema), "marked")
-    prints = marked.select("doc_id", F.col(name).alias("fp"))
-    table = _component_table(prints, max_bits)
-    kept = written(
-        prints.distinct().join(table, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("root", "doc_id").agg(F.min("fp").alias(name)).drop("root"), "kept")
-    same = marked["doc_id"].eqNullSafe(kept["doc_id"]) & (marked[name] == kept[name])
-    rows = marked.join(kept, same, "left_semi")
-    return (rows.groupBy(name, "doc_id")
-            .agg(F.min_by(F.struct(*docs.columns), F.struct("text")).alias("row"))
-            .select("row.*"))
+    marked = docs.join(shared, docs["doc_id"].eqNullSafe(shared["doc_id"]), "left_semi").mapInArrow(
+        _fingerprints(shingle, name, docs.columns), schema)
+    same = marked["doc_id"].eqNullSafe(kept["doc_id"]) & (marked[name] == kept["fp"])
+    several = (marked.join(kept, same, "left_semi").groupBy(name, "doc_id")
+               .agg(F.min_by(F.struct(*docs.columns), F.struct("text")).alias("row"))
+               .select("row.*"))
+    return single.select(*docs.columns).unionByName(several)
 
 
 def op5_simhash_dedup(spark, sf_dir: str) -> DataFrame:

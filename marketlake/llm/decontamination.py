@@ -206,9 +206,16 @@ def contaminated_words(docs: DataFrame, items: DataFrame, window: int = WINDOW,
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs``, all columns, in which no window of an item occurs."""
-    found = contaminated_words(docs, items, window, min(SHINGLE, window), docs.columns)
-    return found.where("n_hit = 0").select("doc.*")
+    """The rows of ``docs``, all columns, in which no window of an item occurs.
+
+    Contaminated rows are told by id and a hash of the text, so no text is written or joined
+    but with them.
+    """
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    found = contaminated_words(keyed, items, window, min(SHINGLE, window), ["doc_id", "text_hash"])
+    bad = written(found.where("n_hit > 0").select("doc.*").distinct(), "contaminated")
+    same = docs["doc_id"].eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs["text"]) == bad["text_hash"])
+    return docs.join(bad, same, "left_anti")
 
 
 def op1_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -195,9 +195,19 @@ def secret_spans(docs: DataFrame, rate: float = RATE, keep: list[str] | None = N
 def redacted(docs: DataFrame, rate: float = RATE, mask: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every span of the text replaced by ``mask``; n_chars, if there, follows.
 
-    Spans that overlap are masked once. Rows without spans stay as they are.
+    Spans that overlap are masked once. Rows without spans stay as they are. Spans come back to
+    their rows by id and a hash of the text, so only rows with spans are held beside the texts.
     """
-    found = secret_spans(docs, rate, docs.columns)
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    found = secret_spans(keyed, rate, ["doc_id", "text_hash"])
+    known = written(found.where(F.size("spans") > 0)
+                    .select(F.col("doc.doc_id").alias("doc_id"),
+                            F.col("doc.text_hash").alias("text_hash"), "spans")
+                    .dropDuplicates(["doc_id", "text_hash"]), "known")
+    same = F.col("d.doc.doc_id").eqNullSafe(F.col("k.doc_id")) & (
+        F.xxhash64("d.doc.text") == F.col("k.text_hash"))
+    rows = docs.select(F.struct(*docs.columns).alias("doc")).alias("d").join(
+        known.alias("k"), same, "left").select("doc", "spans")
     text = F.col("doc.text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -209,8 +219,8 @@ def redacted(docs: DataFrame, rate: float = RATE, mask: str = "[REDACTED]") -> D
 
     clean = F.aggregate("spans", start, add, lambda seen: F.concat(
         seen["out"], F.substring(text, seen["at"] + 1, F.length(text))))
-    some = F.size("spans") > 0
-    changed = found.select("doc", F.when(some, clean).otherwise(text).alias("clean"), some.alias("some"))
+    some = F.col("spans").isNotNull()
+    changed = rows.select("doc", F.when(some, clean).otherwise(text).alias("clean"), some.alias("some"))
     doc = F.col("doc").withField("text", F.col("clean"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from marketlake.llm._store import written
 from marketlake.llm._text import ALNUM_WORD, SPACED_WORD, Words, distinct_by_row, list_column, mix, row_slices
@@ -249,8 +249,9 @@ def mixing_rates(docs: DataFrame, model: DomainModel, weights: dict[str, float]
     wanted = list(dict.fromkeys([*keep, "text"]))
     rows = docs.select(*wanted).mapInArrow(
         _with_posteriors(model, keep), StructType([*kept.fields, *added]))
-    rows = written(rows.select(F.struct(*keep).alias("doc"), F.col("tokens_").alias("tokens"),
-                               F.col("posterior_").alias("posterior")), "posteriors")
+    # texts are scored once for the masses and again for the rates; nothing of them is written
+    rows = rows.select(F.struct(*keep).alias("doc"), F.col("tokens_").alias("tokens"),
+                       F.col("posterior_").alias("posterior"))
     mass = written(rows.groupBy("posterior").agg(F.sum("tokens").alias("tokens")), "mass")
     size = mass.agg(F.sum("tokens")).first()[0] or 0
     share = np.array([weights.get(d, 0.0) for d in model.domains])

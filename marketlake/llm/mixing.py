@@ -17,9 +17,14 @@ features of those rows, no texts, are gathered on the driver.
 A rate becomes whole copies: its integer part, and one more with the probability of its
 fraction, decided by a hash of the id, so a rerun gives the same mix.
 
+The production targets come from the input: the totals by domain of the documents whose posterior is
+less than half toxic, scaled up to the size of the mix. So clean documents keep their proportions
+whatever these are, and only toxic ones are cut. Given weights set the shares of the domains they name;
+a domain without a weight keeps its natural share.
+
 Defined results: null and empty texts have no tokens and the domains' prior as posterior. A target of
 a domain that no labelled row has is left out and the others scaled up; without any, every rate
-is 1. Rows may repeat; each gets the same rate and copies. Extra columns are kept by
+is 1. Where all tokens are toxic the production targets are 0. Rows may repeat; each gets the same rate and copies. Extra columns are kept by
 :func:`mixed_documents` and ignored otherwise.
 """
 
@@ -46,9 +51,8 @@ PREFIX, SUFFIX = 6, 2
 #: features for each domain and test; penalty and rounds of the regression
 CHOSEN, L2, ROUNDS = 32, 1e-4, 300
 GRID = 1000
-#: share of all tokens that each domain shall have
-WEIGHTS = {"de": 0.15, "en": 0.58, "es": 0.11, "fr": 0.15, "de/toxic": 0.002, "en/toxic": 0.004,
-           "es/toxic": 0.002, "fr/toxic": 0.002}
+#: end of the names of the domains that the production mix cuts
+TOXIC = "/toxic"
 #: the fit ends when no domain moves by more than this share of the mix
 TOLERANCE, ITERATIONS = 1e-4, 60
 
@@ -235,14 +239,37 @@ def fit_rates(mass: DataFrame, targets: np.ndarray) -> list[np.ndarray]:
     return steps
 
 
-def mixing_rates(docs: DataFrame, model: DomainModel, weights: dict[str, float] = WEIGHTS,
+def target_totals(mass: DataFrame, domains: tuple[str, ...], weights: dict[str, float] | None,
+                  size: float) -> np.ndarray | None:
+    """Token targets by domain for ``mass``, ``size`` in all; None if nothing is asked for."""
+    if not domains:
+        return None
+    p = [F.col("posterior")[i] / GRID for i in range(len(domains))]
+
+    def totals(rows: DataFrame) -> np.ndarray:
+        return np.array([x or 0.0 for x in rows.agg(*(F.sum(F.col("tokens") * x) for x in p)).first()])
+
+    if weights is None:
+        toxic = sum((x for x, d in zip(p, domains, strict=True) if d.endswith(TOXIC)), F.lit(0.0))
+        share = totals(mass.where(toxic < 0.5))
+        return share * (size / share.sum()) if share.sum() else share
+    share = totals(mass)
+    share /= share.sum()
+    listed = np.array([d in weights for d in domains])
+    wanted = np.array([weights.get(d, 0.0) for d in domains])
+    share[listed] = wanted[listed] * (share[listed].sum() / wanted.sum() if wanted.sum() else 0.0)
+    return share / share.sum() * size if share.sum() else None
+
+
+def mixing_rates(docs: DataFrame, model: DomainModel, weights: dict[str, float] | None = None,
                  tokens: float | None = None, keep: list[str] | None = None) -> DataFrame:
     """doc (a struct of ``keep``, doc_id if not given), n_words, posterior, rate and copies.
 
-    ``tokens`` is the size of the mix, by default that of the input. posterior is a map by domain.
+    ``weights`` are shares of the mix by domain, by default the production targets. ``tokens`` is the
+    size of the mix, by default that of the input. posterior is a map by domain.
     """
     keep = keep or ["doc_id"]
-    if any(w < 0 for w in weights.values()):
+    if any(w < 0 for w in (weights or {}).values()):
         raise ValueError("a target weight is negative")
     kept = StructType([docs.schema[c] for c in keep])
     added = [StructField("tokens_", LongType()), StructField("posterior_", ArrayType(LongType()))]
@@ -254,10 +281,8 @@ def mixing_rates(docs: DataFrame, model: DomainModel, weights: dict[str, float]
                        F.col("posterior_").alias("posterior"))
     mass = written(rows.groupBy("posterior").agg(F.sum("tokens").alias("tokens")), "mass")
     size = mass.agg(F.sum("tokens")).first()[0] or 0
-    share = np.array([weights.get(d, 0.0) for d in model.domains])
-    steps = []
-    if size and share.sum() > 0:
-        steps = fit_rates(mass, share / share.sum() * (tokens or size))
+    targets = target_totals(mass, model.domains, weights, tokens or size) if size else None
+    steps = [] if targets is None else fit_rates(mass, targets)
     rate = _rate(F.col("posterior"), steps)
     chance = F.pmod(F.xxhash64("doc.doc_id"), F.lit(1 << 52)) / float(1 << 52)
     named = F.map_from_arrays(F.array(*(F.lit(d) for d in model.domains)).cast("array<string>"),
@@ -271,11 +296,11 @@ def label_domains(labels: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc_id, domain): the labelled document's language, with "/toxic" where so labelled."""
     return (labels.select("doc_id", "toxic").where("toxic IS NOT NULL")
             .join(docs.select("doc_id", "lang"), "doc_id")
-            .select("doc_id", F.when(F.col("toxic") == 1, F.concat("lang", F.lit("/toxic")))
+            .select("doc_id", F.when(F.col("toxic") == 1, F.concat("lang", F.lit(TOXIC)))
                     .otherwise(F.col("lang")).alias("domain")))
 
 
-def mixed_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS
+def mixed_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None
                     ) -> DataFrame:
     """The rows of ``docs`` with at least one copy, with mix_rate and mix_copies."""
     model = fit_domains(docs, label_domains(labels, docs))
@@ -284,13 +309,24 @@ def mixed_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float
         "doc.*", F.col("rate").alias("mix_rate"), F.col("copies").alias("mix_copies"))
 
 
+def _posterior_columns(domains: tuple[str, ...]) -> list[Column]:
+    """A column p_ for each domain; names that differ in case or slashes only get a number."""
+    names: dict[str, str] = {}
+    for d in domains:
+        name, n = f"p_{d}".replace("/", "_"), 1
+        while name.lower() in names:
+            n += 1
+            name = f"p_{d}_{n}".replace("/", "_")
+        names[name.lower()] = name
+    return [F.coalesce(F.col("posterior")[d], F.lit(0.0)).alias(name)
+            for d, name in zip(domains, names.values(), strict=True)]
+
+
 def op3_source_mixing(spark, sf_dir: str) -> DataFrame:
-    """Rates and copies of every row of ``documents`` for the production weights."""
+    """Posteriors by learned domain, rates and copies of every row of ``documents`` for the production
+    targets."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = fit_domains(docs, label_domains(labels, docs))
     return mixing_rates(docs, model).select(
-        "doc.doc_id", "n_words",
-        *(F.coalesce(F.col("posterior")[d], F.lit(0.0))
-          .alias(f"p_{d}".replace("/", "_")) for d in sorted(WEIGHTS)),
-        "rate", "copies")
+        "doc.doc_id", "n_words", *_posterior_columns(model.domains), "rate", "copies")

@@ -164,6 +164,48 @@ def test_toxic_documents_leave_the_mix(spark):
     assert len(kept & toxic) <= 0.2 * len(toxic) and len(clean - kept) <= 0.05 * len(clean)
 
 
+def lopsided_corpus(spark, n=600):
+    """90% of one language, a fifth language, and a few toxic documents."""
+    rng = random.Random(3)
+    words = {"en": "the of and to", "de": "der die und zu", "es": "el los y que", "fr": "le les et qui",
+             "it": "il gli e che"}
+    data, labels = [], []
+    for i in range(n):
+        lang = "en" if i % 10 else ["de", "es", "fr", "it"][i // 10 % 4]
+        toxic = lang == "en" and i % 12 == 1
+        own = words[lang] + (" idiot idiot moron" if toxic else "")
+        text = " ".join(rng.choices(own.split(), k=rng.randrange(30, 60))) + " " + prose(rng, 10)
+        data.append((i, text, lang, "s", len(text)))
+        labels.append((i, 1, int(toxic)))
+    return documents(spark, data), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_a_lopsided_corpus_keeps_its_clean_documents(spark, tmp_dir):
+    docs, labels = lopsided_corpus(spark)
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    labels.write.parquet(f"{tmp_dir}/labels.parquet")
+    found = {r.doc_id: r for r in mixing.op3_source_mixing(spark, tmp_dir).collect()}
+    toxic = {r.doc_id for r in labels.where("toxic = 1").collect()}
+    italian = {r.doc_id for r in docs.where("lang = 'it'").collect()}
+    clean = [r for k, r in found.items() if k not in toxic]
+    assert sum(r.copies >= 1 for r in clean) >= 0.99 * len(clean)
+    assert sum(found[k].copies >= 1 for k in toxic) <= 0.1 * len(toxic)
+    assert all(found[k].p_it > 0.9 and found[k].copies >= 1 for k in italian) and italian
+    size = sum(r.n_words for r in found.values())
+    assert sum(r.rate * r.n_words for r in found.values()) == pytest.approx(size, rel=0.01)
+
+
+def test_a_domain_without_a_weight_keeps_its_share(spark):
+    mass = spark.createDataFrame([([1000, 0, 0], 60), ([0, 1000, 0], 30), ([0, 0, 1000], 10)],
+                                 "posterior array<long>, tokens long")
+    names = ("a", "b", "c")
+    assert mixing.target_totals(mass, names, {"a": 1, "b": 2}, 200).tolist() == pytest.approx([60, 120, 20])
+    assert mixing.target_totals(mass, names, {"z": 1}, 100).tolist() == pytest.approx([60, 30, 10])
+    assert mixing.target_totals(mass, names, dict.fromkeys(names, 0.0), 100) is None
+    names = ("a", "a/toxic", "b/toxic")
+    assert mixing.target_totals(mass, names, None, 100).tolist() == pytest.approx([100, 0, 0])
+
+
 def test_nothing_to_mix_by(spark):
     docs = documents(spark, rows(["a b", None]))
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -1,10 +1,12 @@
 """Secret scans: patterns, and a battery of randomness tests on encoded-looking tokens.
 
 Base spans are the matches of fixed patterns. Further candidates are runs of ``CANDIDATE``
-characters of the Base64 alphabets that hold a digit and don't lie inside a base span. Each
+characters of the Base64 alphabets, and the parts of that length that are left of a run cut at
+``+`` and ``/``, at ``-`` and ``_``, or at all four, where they don't lie inside a base span. So a key
+is tested on its own where a path or a prefix is glued to it. Each
 candidate's encoding is the narrowest alphabet that holds all its characters (hexadecimal,
-Base32, Base36, Base62, Base64); in that alphabet three tests ask whether the characters could be
-uniform and independent: a chi-squared test of the counts, the number of runs of symbols of the
+Base32, Base36, Base62, Base64, all of these); in that alphabet three tests ask whether the
+characters could be uniform and independent: a chi-squared test of the counts, the number of runs of symbols of the
 alphabet's lower and upper half, and the correlation of neighbours. Fisher's method combines
 them into one p-value.
 
@@ -12,7 +14,7 @@ Ordinary tokens (paths, numbers, names) fail the tests. Which candidates count a
 by the Benjamini-Hochberg step-up over all documents at rate ``RATE``, for each encoding and
 class of length on its own, since short tokens give the tests little power; of the tokens that are
 set aside as ordinary, a share of ``RATE`` at most is expected to be random. The others are
-spans of kind ``random``.
+spans of kind ``random``, but for those inside another one.
 
 Only DataFrame functions are used. The step-up needs counts by rounded p-value, at most
 ``BINS`` for each stratum, never the candidates themselves in one place.
@@ -44,7 +46,9 @@ RATE = 0.05
 BINS, FINE = 1000, 20.0
 
 _TOKEN = r"[A-Za-z0-9+/_-]"
-_RUN = rf"(?<!{_TOKEN})(?={_TOKEN}*[0-9]){_TOKEN}{{{CANDIDATE},}}"
+_RUN = rf"(?<!{_TOKEN}){_TOKEN}{{{CANDIDATE},}}"
+#: parts of a run, by the separators that they don't hold
+_PARTS = tuple(f"[^{cut}]{{{CANDIDATE},}}" for cut in ("+/", "_-", "+/_-"))
 
 # Alphabets in the order of their digits, narrowest first.
 _LOW, _UP, _DIG = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -57,6 +61,7 @@ ALPHABETS = (
     ("base62", _DIG + _UP + _LOW),
     ("base64", _UP + _LOW + _DIG + "+/"),
     ("base64url", _UP + _LOW + _DIG + "-_"),
+    ("mixed", _UP + _LOW + _DIG + "+/-_"),
 )
 
 
@@ -117,7 +122,6 @@ def _battery(tokens: DataFrame) -> DataFrame:
         name = F.when(fits, label).otherwise(name)
         letters = F.when(fits, F.lit(alphabet)).otherwise(letters)
     known = (tokens.withColumn("encoding", name).withColumn("letters", letters)
-             .where("encoding IS NOT NULL")
              .withColumn("x", F.expr("transform(split(token, ''), c -> "
                                      "cast(locate(c, letters) - 1 AS double))"))
              .withColumn("x", F.filter("x", lambda v: v >= 0))
@@ -171,9 +175,16 @@ def secret_spans(docs: DataFrame, rate: float = RATE, keep: list[str] | None = N
         docs.select(F.struct(*(keep or ["doc_id"])).alias("doc"), _base_spans(text).alias("base"),
                     matches(text, _RUN).alias("runs"))
         .withColumn("row_id", F.monotonically_increasing_id()), "secrets")
-    loose = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] <= r["start"]) & (
-        b["end"] >= r["start"] + F.length(r["text"]))))
-    tokens = rows.select("row_id", F.explode(loose).alias("r")).select(
+
+    def loose(found: Column | str) -> Column:
+        return F.filter(found, lambda r: ~F.exists("base", lambda b: (b["start"] <= r["start"]) & (
+            b["end"] >= r["start"] + F.length(r["text"]))))
+
+    runs = rows.select("row_id", "base", F.explode(loose("runs")).alias("r"))
+    parts = F.concat(*(matches(F.col("r.text"), cut) for cut in _PARTS))
+    found = F.array_distinct(F.concat(F.array("r"), F.transform(parts, lambda m: F.struct(
+        (F.col("r.start") + m["start"]).alias("start"), m["text"].alias("text")))))
+    tokens = runs.select("row_id", F.explode(loose(found)).alias("r")).select(
         "row_id", F.col("r.start").alias("start"), F.col("r.text").alias("token"))
     tested = written(_battery(tokens).select(
         "row_id", "start", (F.col("start") + F.length("token")).alias("end"),
@@ -184,8 +195,18 @@ def secret_spans(docs: DataFrame, rate: float = RATE, keep: list[str] | None = N
     cutoffs = written(_cutoffs(tested, rate), "cutoffs")
     random = (tested.join(cutoffs, "stratum", "left")
               .where(F.col("cutoff").isNull() | (F.col("bin") < F.col("cutoff")))
-              .groupBy("row_id").agg(F.collect_list(F.struct(
-                  "start", F.lit(KINDS.index("random")).alias("rank"), "end")).alias("random")))
+              .groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct(
+                  "start", (-F.col("end")).alias("back")))).alias("random")))
+    # a span lies inside another one if one before it in this order ends no earlier
+    none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
+
+    def add(seen: Column, s: Column) -> Column:
+        new = F.struct(s["start"].alias("start"), F.lit(KINDS.index("random")).alias("rank"),
+                       (-s["back"]).alias("end"))
+        return F.when(F.try_element_at(seen, F.lit(-1))["end"] >= -s["back"], seen).otherwise(
+            F.concat(seen, F.array(new)))
+
+    random = random.select("row_id", F.aggregate("random", none, add).alias("random"))
     return rows.join(random, "row_id", "left").select(
         "doc", "base",
         F.when(F.col("random").isNull(), F.col("base"))

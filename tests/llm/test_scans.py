@@ -79,6 +79,29 @@ def test_random_tokens_are_found_and_ordinary_ones_are_not(spark):
     assert (one["start"], one["end"]) == (4, 4 + 44)
 
 
+def test_keys_glued_to_paths_and_prefixes_are_found(spark):
+    rng = random.Random(6)
+    plain = [f"com/{a}-{b}/some_{c}/ordinary-file-name-of-{a}" for a in ("alpha", "beta", "gamma", "delta")
+             for b in ("service", "frontend", "library") for c in ("module", "folder", "package")]
+    letters = string.ascii_letters + string.digits
+    keys = ["".join(rng.choices(letters, k=30)) for _ in range(60)]
+    keys += ["".join(rng.choices(letters + "+/", k=41)) + "+/a" for _ in range(30)]
+    keys += ["".join(rng.choices(string.ascii_letters, k=32)) for _ in range(30)]  # no digit
+    glued = [f"https://x.com/my-app/hooks/{k}" for k in keys[:60]] + [f"key-{k}" for k in keys[60:90]]
+    glued += keys[90:]
+    data = rows([f"see {t} here" for t in plain]) + rows([f"see {t} here" for t in glued], 1000)
+    text = {k: t for k, t, *_ in data}
+    found = {r.doc.doc_id: r.spans for r in secret_spans(documents(spark, data)).collect()}
+    hit = []
+    for i, key in enumerate(keys, 1000):
+        at = text[i].index(key)
+        hit.append(any(s.start <= at and s.end >= at + len(key) for s in found[i]))
+    assert sum(hit[:60]) >= 50 and sum(hit[60:90]) >= 25 and sum(hit[90:]) >= 20
+    assert sum(bool(found[i]) for i in range(1, 1 + len(plain))) <= 4
+    for spans in found.values():
+        assert not any(a.start <= b.start and b.end <= a.end for a in spans for b in spans if a != b)
+
+
 def test_redacted(spark):
     data = rows(["a token = abcdef12 z", 'é \U0001f600 password: "' + "ab12" * 10 + '" x', "nothing", None])
     found = sorted(redacted(documents(spark, data)).collect())

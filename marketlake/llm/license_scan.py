@@ -4,12 +4,17 @@ The automaton holds every run of words of the license templates. A text is strea
 it once; at each word the state and the matched length give the longest run of words that ends
 there and stands in some template (the matching statistics). Maximal runs of ``MIN_MATCH`` words
 or more are chained along their template, across gaps of at most ``MAX_GAP`` words on either side,
-into covered spans; a span that covers ``COVERAGE`` of a template's words gives its label. Short
+into covered spans; a span that covers ``COVERAGE`` of a template's words gives its label if each of
+the template's marks, the words that tell it from its variants, lies in one match, and if no
+span that overlaps it covers more words of another label's template. Short
 phrases are templates that must be covered in whole, and each of their places counts.
 
+Templates are notices, openings, and the sections of the full texts (``license_texts``). A section that
+stands in several licenses has all their names as its label, joined by ``/``.
+
 The automaton's size is bounded by the templates, which are a parameter of the job and not
-data. Words outside the templates and pairs of words that stand in no template reset the
-matched length to at most one word, so only runs of known pairs are stepped through.
+data. A match has ``MIN_MATCH`` words or is a phrase, so only runs of words that stand in a known run
+of that length, or in a known pair of a phrase, are stepped through.
 
 Defined results: null, empty and wordless texts have no words, no labels and score 0. Each
 input row gives one output row; rows may repeat. Extra columns are ignored.
@@ -27,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm._text import ALNUM_WORD, Words, mix, row_slices
+from marketlake.llm.license_texts import SECTIONS
 
 MIN_MATCH = 4
 MAX_GAP = 6
@@ -39,11 +45,11 @@ PHRASES = {
     "reserved": "all rights reserved",
 }
 
-# Public license notices and license openings, by label.
+# Public license notices and license openings, by label; marks stand between asterisks.
 TEMPLATES = {
     "apache-2.0": [
-        "Licensed under the Apache License, Version 2.0",
-        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file "
+        "Licensed under the *Apache License, Version 2.0*",
+        "Licensed under the *Apache License, Version 2.0* (the License); you may not use this file "
         "except in compliance with the License. You may obtain a copy of the License at",
         "Unless required by applicable law or agreed to in writing, software distributed under the "
         "License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
@@ -53,38 +59,48 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met",
     ],
-    "cc-by-nc-4.0": [
-        "Licensed under CC BY-NC 4.0",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-        "International License",
-    ],
-    "cc-by-4.0": [
-        "This work is licensed under a Creative Commons Attribution 4.0 International License",
-    ],
-    "gpl-3.0": [
-        "This work is licensed under the GNU General Public License, version 3",
-        "This program is free software: you can redistribute it and/or modify it under the terms of "
-        "the GNU General Public License as published by the Free Software Foundation, either "
-        "version 3 of the License, or (at your option) any later version.",
-    ],
     "isc": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
         "without fee is hereby granted, provided that the above copyright notice and this "
         "permission notice appear in all copies.",
     ],
     "mit": [
-        "Released under the MIT License",
+        "Released under the *MIT License*",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
         "software and associated documentation files (the Software), to deal in the Software "
         "without restriction",
     ],
     "mpl-2.0": [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the *Mozilla Public License, v. 2.0*.",
     ],
     "unlicense": [
         "This is free and unencumbered software released into the public domain.",
     ],
 }
+# Variants of Creative Commons by their short and long names, and their versions.
+for _short, _long in (("BY", "Attribution"), ("BY-NC", "Attribution-NonCommercial"),
+                      ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+                      ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                      ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    for _version, _port in (("4.0", "International"), ("3.0", "Unported"), ("2.0", "Generic")):
+        TEMPLATES[f"cc-{_short.lower()}-{_version}"] = [
+            f"Licensed under *CC {_short} {_version}*",
+            f"This work is licensed under a *Creative Commons {_long} {_version}* {_port} License",
+        ]
+# Members of the GNU family by their names, and their versions.
+for _label, _name, _versions in (("gpl", "GNU General", ("2", "3")), ("agpl", "GNU Affero General", ("3",)),
+                                 ("lgpl", "GNU Lesser General", ("2.1", "3"))):
+    for _version in _versions:
+        TEMPLATES[_label + "-" + (_version if "." in _version else f"{_version}.0")] = [
+            f"This work is licensed under the *{_name} Public License, version {_version}*",
+            *(f"This {_thing} is free software: you can redistribute it and/or modify it under the "
+              f"terms of *the {_name} Public License as published* by the Free Software Foundation, "
+              f"either *version {_version} of the License*, or (at your option) any later version."
+              for _thing in ("program", "library")),
+            f"This program is free software; you can redistribute it and/or modify it under the terms "
+            f"of *the {_name} Public License version {_version} as published* by the Free Software "
+            "Foundation.",
+        ]
 
 
 @dataclass(frozen=True)
@@ -92,6 +108,7 @@ class Template:
     label: str
     words: tuple[str, ...]
     whole: bool  # a phrase: all of it, every place
+    marks: tuple[tuple[int, int], ...] = ()  # runs of words that must each lie in one match
 
 
 def template_words(text: str) -> tuple[str, ...]:
@@ -99,10 +116,23 @@ def template_words(text: str) -> tuple[str, ...]:
                             re.sub("[A-Z]", lambda m: m[0].lower(), text)))
 
 
-def templates(phrases: dict[str, str] = PHRASES,
-              texts: dict[str, list[str]] = TEMPLATES) -> list[Template]:
+def marked_template(label: str, text: str) -> Template:
+    """A template of which the words between asterisks are marks."""
+    words: tuple[str, ...] = ()
+    marks = []
+    for i, part in enumerate(text.split("*")):
+        own = template_words(part)
+        if i % 2:
+            marks.append((len(words), len(words) + len(own)))
+        words += own
+    return Template(label, words, False, tuple(marks))
+
+
+def templates(phrases: dict[str, str] = PHRASES, texts: dict[str, list[str]] = TEMPLATES,
+              sections: dict[str, list[str]] = SECTIONS) -> list[Template]:
     out = [Template(k, template_words(v), True) for k, v in phrases.items()]
-    out += [Template(k, template_words(t), False) for k, v in texts.items() for t in v]
+    out += [marked_template(k, t) for k, v in texts.items() for t in v]
+    out += [Template(k, template_words(t), False) for k, v in sections.items() for t in v]
     if any(not t.words for t in out):
         raise ValueError("a template has no words")
     return out
@@ -199,14 +229,16 @@ def scan_run(automaton: SuffixAutomaton, words: list[str], at: int
 
 
 def covered_spans(matches: list[tuple[int, int, int, int]], known: list[Template],
-                  max_gap: int) -> list[tuple[int, int, int, float]]:
-    """(start, end, template, share of the template's words) of the chains of matches."""
+                  max_gap: int) -> list[tuple[int, int, int, float, bool]]:
+    """(start, end, template, share of the template's words, whether each mark lies in one match) of
+    the chains of matches."""
     open_: dict[int, list] = {}
     spans = []
 
     def close(t: int) -> None:
-        start, end, _, covered = open_.pop(t)
-        spans.append((start, end, t, min(1.0, covered / len(known[t].words))))
+        start, end, _, covered, seen = open_.pop(t)
+        marked = all(any(a <= m and n <= b for a, b in seen) for m, n in known[t].marks)
+        spans.append((start, end, t, min(1.0, covered / len(known[t].words)), marked))
 
     for start, end, t, stop in sorted(matches):
         begin = stop - (end - start)
@@ -219,45 +251,71 @@ def covered_spans(matches: list[tuple[int, int, int, int]], known: list[Template
             close(t)
             chain = None
         if chain is None:
-            open_[t] = [start, end, stop, end - start]
+            open_[t] = [start, end, stop, end - start, [(begin, stop)]]
         else:
-            chain[1:] = [end, stop, chain[3] + end - start]
+            chain[1:] = [end, stop, chain[3] + end - start, [*chain[4], (begin, stop)]]
     for t in list(open_):
         close(t)
     return sorted(spans)
 
 
+def labelled_spans(spans: list[tuple[int, int, int, float, bool]], known: list[Template],
+                   coverage: float) -> list[bool]:
+    """Which spans give their label: covered and marked, and no overlapping one of another label
+    covers more words."""
+    order = sorted((i for i, s in enumerate(spans) if s[3] >= coverage and s[4]),
+                   key=lambda i: -spans[i][3] * len(known[spans[i][2]].words))
+    held = [False] * len(spans)
+    best: list[int] = []
+    for i in order:
+        start, end, t, share, _ = spans[i]
+        held[i] = all(end <= spans[k][0] or spans[k][1] <= start or known[spans[k][2]].label
+                      == known[t].label or spans[k][3] * len(known[spans[k][2]].words)
+                      <= share * len(known[t].words) for k in best)
+        if held[i]:
+            best.append(i)
+    return held
+
+
 _ROW = ("doc_id long, n_words long, places array<struct<label:string,start:long>>, "
-        "spans array<struct<label:string,start:long,`end`:long,coverage:double>>")
+        "spans array<struct<label:string,start:long,`end`:long,coverage:double,labelled:boolean>>")
 
 
-def _scan(known: list[Template], min_match: int, max_gap: int) -> Callable:
+def _scan(known: list[Template], min_match: int, max_gap: int, coverage: float) -> Callable:
     place = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64())]))
     span = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()),
-                               ("end", pa.int64()), ("coverage", pa.float64())]))
+                               ("end", pa.int64()), ("coverage", pa.float64()),
+                               ("labelled", pa.bool_())]))
     step = np.uint64(0x9E3779B97F4A7C15)
-    alone = any(len(t.words) == 1 for t in known)
+    # the known runs that a match or a phrase is made of, by their length
+    parts = [(max(1, min_match), [t for t in known if not t.whole]),
+             (2, [t for t in known if t.whole]), (1, [t for t in known if t.whole and len(t.words) == 1])]
 
-    def pairs(h: np.ndarray) -> np.ndarray:
-        return mix(h[:-1] * step + h[1:])
+    def grams(h: np.ndarray, n: int) -> np.ndarray:
+        out = h[:len(h) - n + 1]
+        for i in range(1, n):
+            out = mix(out * step + h[i:len(h) - n + 1 + i])
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = SuffixAutomaton(known, min_match)
-        own = Words(pa.array([" ".join(t.words) for t in known]), ALNUM_WORD, lower=True)
-        hashes = own.hashes()
-        single = np.unique(hashes)
-        double = np.unique(pairs(hashes)[own.inside(2)[:-1]])
+        alive = []
+        for n, some in parts:
+            own = Words(pa.array([" ".join(t.words) for t in some], pa.string()), ALNUM_WORD, lower=True)
+            if len(own) >= n:
+                alive.append((n, np.unique(grams(own.hashes(), n)[own.inside(n)[:len(own) - n + 1]])))
         for batch in batches:
             for part in row_slices(batch):
                 words = Words(part.column("text"), ALNUM_WORD, lower=True)
                 h = words.hashes()
-                # word i is live if it is part of a known pair of its row
+                # word i is live if it is part of a known run of its row
                 live = np.zeros(len(words) + 1, dtype=bool)
-                if len(words) > 1:
-                    at = np.flatnonzero(np.isin(pairs(h), double) & words.inside(2)[:-1])
-                    live[at] = live[at + 1] = True
-                if alone:
-                    live[:-1] |= np.isin(h, single)
+                for n, runs in alive:
+                    if len(words) >= n:
+                        at = np.flatnonzero(np.isin(grams(h, n), runs)
+                                            & words.inside(n)[:len(words) - n + 1])
+                        for k in range(n):
+                            live[at + k] = True
                 new = np.ones(len(words) + 1, dtype=bool)
                 new[1:] = ~live[:-1]
                 new[words.first] = True
@@ -277,21 +335,22 @@ def _scan(known: list[Template], min_match: int, max_gap: int) -> Callable:
                     part.column("doc_id"), pa.array(np.diff(words.first)),
                     pa.array([[{"label": known[t].label, "start": s} for t, s in p]
                               for p in places], place),
-                    pa.array([[{"label": known[t].label, "start": a, "end": b, "coverage": c}
-                               for a, b, t, c in covered_spans(m, known, max_gap)]
-                              for m in matches], span),
+                    pa.array([[{"label": known[t].label, "start": a, "end": b, "coverage": c,
+                                "labelled": held} for (a, b, t, c, _), held in zip(
+                                    found, labelled_spans(found, known, coverage), strict=True)]
+                              for found in (covered_spans(m, known, max_gap) for m in matches)], span),
                 ], names=["doc_id", "n_words", "places", "spans"])
     return run
 
 
 def license_spans(docs: DataFrame, known: list[Template] | None = None, min_match: int = MIN_MATCH,
-                  max_gap: int = MAX_GAP) -> DataFrame:
+                  max_gap: int = MAX_GAP, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, n_words, phrase places (label, start) and covered template spans of every row.
 
     Starts and ends are word numbers from 0, ends exclusive.
     """
     return docs.select("doc_id", "text").mapInArrow(
-        _scan(known or templates(), min_match, max_gap), _ROW)
+        _scan(known or templates(), min_match, max_gap, coverage), _ROW)
 
 
 def license_labels(docs: DataFrame, coverage: float = COVERAGE, **options) -> DataFrame:
@@ -299,9 +358,9 @@ def license_labels(docs: DataFrame, coverage: float = COVERAGE, **options) -> Da
 
     The score is the greatest share of a template that the text covers (1 for a phrase).
     """
-    found = license_spans(docs, **options)
+    found = license_spans(docs, coverage=coverage, **options)
     base = F.array_distinct(F.col("places.label"))
-    more = F.transform(F.filter("spans", lambda s: s["coverage"] >= coverage), lambda s: s["label"])
+    more = F.transform(F.filter("spans", lambda s: s["labelled"]), lambda s: s["label"])
     return found.select(
         "*", F.array_sort(base).alias("base_labels"),
         F.array_sort(F.array_union(base, more)).alias("labels"),

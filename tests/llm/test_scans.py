@@ -24,6 +24,7 @@ from marketlake.llm.license_scan import (
     template_words,
     templates,
 )
+from marketlake.llm.license_texts import SECTIONS
 from marketlake.llm.secret_scan import ASSIGN, KINDS, redacted, secret_spans
 from marketlake.llm.warc import parse_records, read_bundles, read_record, write_bundles
 from tests.llm.corpus import WORD, documents, lower, prose, rows
@@ -151,6 +152,39 @@ def test_license_spans(spark):
     assert list(found[6].labels) == list(found[6].base_labels) == ["reserved"]
 
 
+def test_license_variants_and_bodies(spark):
+    gnu = ("This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {} "
+           "Public License as published by the Free Software Foundation{} either version {} of the License, "
+           "or (at your option) any later version.")
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0 International License"
+    redistributions = next(t for t in SECTIONS["bsd"] if t.startswith("1. Redistributions"))
+    want = {
+        gnu.format("program", ";", "General", ";", "2"): ["gpl-2.0"],
+        gnu.format("program", ":", "General", ",", "3"): ["gpl-3.0"],
+        gnu.format("library", ";", "Lesser General", ";", "2.1"): ["lgpl-2.1"],
+        gnu.format("program", ":", "Lesser General", ",", "3"): ["lgpl-3.0"],
+        gnu.format("program", ":", "Affero General", ",", "3"): ["agpl-3.0"],
+        gnu.format("program", ":", "General", ",", "1"): [],
+        cc.format(""): ["cc-by-4.0"], cc.format("-NonCommercial"): ["cc-by-nc-4.0"],
+        cc.format("-ShareAlike"): ["cc-by-sa-4.0"], cc.format("-NoDerivatives"): ["cc-by-nd-4.0"],
+        cc.format("-NonCommercial-ShareAlike"): ["cc-by-nc-sa-4.0"],
+        cc.replace("4.0", "2.5").format(""): [],
+        "Licensed under CC BY-NC-SA 4.0": ["cc-by", "cc-by-nc-sa-4.0"],
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT '
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN "
+        "NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY":
+            ["mit/unlicense"],
+        redistributions: ["bsd"],
+        SECTIONS["mpl-2.0"][5]: ["mpl-2.0"], SECTIONS["apache-2.0"][5]: ["apache-2.0"],
+        SECTIONS["lgpl-2.1"][12]: ["lgpl-2.1"], SECTIONS["gpl-2.0/lgpl-2.1"][12]: ["gpl-2.0/lgpl-2.1"],
+        SECTIONS["agpl-3.0/gpl-3.0"][20]: ["agpl-3.0/gpl-3.0"],
+    }
+    data = rows([f"w1 w2 {t} w3" for t in want])
+    found = {r.doc_id: r.labels for r in license_labels(documents(spark, data)).collect()}
+    got = {t: [x for x in found[i] if x != "gpl"] for i, t in enumerate(want, 1)}
+    assert got == want
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text("abc", min_size=1, max_size=8), min_size=1, max_size=4), st.text("abcd", max_size=25),
        st.integers(1, 3))

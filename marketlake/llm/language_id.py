@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,7 +132,11 @@ def _losses(code: np.ndarray, weights: np.ndarray, names: tuple[str, ...]) -> Ca
         total, rows = np.zeros(code.shape[1]), 0
         for batch in batches:
             for part in row_slices(batch):
-                own = np.array([names.index(x) for x in part.column("lang").to_pylist()])
+                # a language none of whose texts has a trigram is not learned
+                part = part.filter(pc.is_in(part.column("lang"), pa.array(names, pa.string())))
+                if not part.num_rows:
+                    continue
+                own = np.array([names.index(x) for x in part.column("lang").to_pylist()], np.int64)
                 total += _loss(margins(part, weights) * code[own]).sum(axis=0)
                 rows += len(own)
         yield pa.RecordBatch.from_pydict({

@@ -98,6 +98,13 @@ def test_unknown_and_single_languages(spark):
             assert {v[0] for v in found.values()} == {"und"}
 
 
+def test_a_language_without_letters_is_not_learned(spark):
+    train = spark.createDataFrame([("aaa bbb ccc", "xx"), ("ddd eee", "yy"), ("123 456", "zxx"), ("", "zxx")],
+                                  "text string, lang string")
+    model = language_id.fit_language_codes(train)
+    assert model.languages == ("xx", "yy") and np.isfinite(model.trust).all()
+
+
 def test_trigrams_know_case_and_rows():
     upper, row = language_id.trigrams(pa.array(["ÉTÉ AB", "été ab", "", None, "b"]))
     by_row = [upper[row == r].tolist() for r in range(5)]

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from marketlake.llm.decontamination import op1_decontamination
 from marketlake.llm.embedding_dedup import op9_embedding_dedup
+from marketlake.llm.embedding_whitening import op11_embedding_whitening
 from marketlake.llm.importance_resampling import OP12_SQL, op12_importance_resampling
 from marketlake.llm.language_id import op7_language_id
 from marketlake.llm.license_scan import op8_license_scan
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_warc": op10_warc,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_importance_resampling": op12_importance_resampling,
 }
 

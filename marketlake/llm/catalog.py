@@ -16,6 +16,7 @@ from marketlake.llm.quality_gam import op4_quality_classifier
 from marketlake.llm.secret_scan import op6_secret_scan
 from marketlake.llm.simhash_dedup import op5_simhash_dedup
 from marketlake.llm.substring_dedup import op2_substring_dedup
+from marketlake.llm.toxicity_gru import op13_toxicity
 from marketlake.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLE: dict[str, str] = {

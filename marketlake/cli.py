@@ -1,5 +1,5 @@
 """Command line for the daily run: ``ingest`` landed files, ``verify`` the raw tables, then
-``build`` the marts.
+``build`` the marts or ``refresh`` what the new rows change.
 
     spark-submit --py-files marketlake.zip marketlake/cli.py ingest \\
         --landing <shared>/landing/prices/* --table stock_prices_daily --root <shared>/raw
@@ -46,6 +46,12 @@ def main(argv: list[str] | None = None) -> dict:
     bld.add_argument("--out", required=True)
     bld.add_argument("--as-of", required=True, help="evaluation date of the freshness check")
     bld.add_argument("--no-fail", action="store_true", help="report failed checks only")
+    ref = sub.add_parser("refresh", help="bring built marts up to the raw tables, month by month")
+    ref.add_argument("--root", required=True)
+    ref.add_argument("--out", required=True)
+    ref.add_argument("--overlap-days", type=int, default=1, help="days before the last build's ingest "
+                     "mark that are looked at again")
+    ref.add_argument("--no-fail", action="store_true", help="report failed checks only")
     args = ap.parse_args(argv)
 
     from marketlake.session import get_session
@@ -74,6 +80,9 @@ def main(argv: list[str] | None = None) -> dict:
         out = {"batches": results}
     elif args.cmd == "verify":
         out = {"checks": verify_raw(spark, root, args.as_of)}
+    elif args.cmd == "refresh":
+        from marketlake.plans.refresh import refresh_marts
+        out = refresh_marts(spark, root, args.out, args.overlap_days, fail_on_error=not args.no_fail)
     else:
         from marketlake.plans.build import build_marts
         out = build_marts(spark, root, args.out, args.as_of, fail_on_error=not args.no_fail)

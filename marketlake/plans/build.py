@@ -11,7 +11,8 @@ The reference's "run the SQL models, then run their tests" step, as one Spark ap
 5. the checks of the raw tables and staging views are Observations on those writes; the
    uniqueness checks read the written tables;
 6. everything is written to a new build folder, and only a build whose checks pass is
-   published: the live tables are replaced folder by folder, by renames.
+   published: one entry of a small log switches all tables at once (``sinks.published``).
+   ``plans.refresh`` brings published tables up to date without a full build.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from marketlake.operators.aggregates import pivot_benchmarks
 from marketlake.operators import quality as q
 from marketlake.operators.quality import DataQualityError
 from marketlake.plans import checks, marts, staging
+from marketlake.sinks import published
 from marketlake.sinks.raw_store import materialise
 
 
@@ -32,34 +34,49 @@ def _path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+#: the newest date and ingest time that a build has seen
+MARKS = "build_marks"
+
+
+def with_month(df: DataFrame) -> DataFrame:
+    return df.withColumn("month", F.date_format("date", "yyyy-MM"))
+
+
 def write_fact(fact: DataFrame, path: str) -> None:
     """The fact by month, in files of the advisory size, sorted by symbol and date."""
-    month = F.date_format("date", "yyyy-MM")
-    (fact.withColumn("month", month).hint("rebalance", "month")
+    (with_month(fact).hint("rebalance", "month")
      .sortWithinPartitions("month", "symbol", "date")
      .write.mode("overwrite").partitionBy("month").parquet(path))
 
 
-def read_fact(spark: SparkSession, path: str, since=None) -> DataFrame:
-    """The written fact; with ``since`` (a date) only the months that can hold later rows."""
-    fact = spark.read.parquet(path)
+def read_mart(spark: SparkSession, out_root: str, name: str) -> DataFrame:
+    """A table of the published build."""
+    return published.read_published(spark, out_root.rstrip("/"), name)
+
+
+def read_fact(spark: SparkSession, path: str, since=None, months: list[str] | None = None) -> DataFrame:
+    """The fact at ``path``: a written table, or ``<marts>/fact_daily_metrics`` for the published one.
+
+    With ``since`` (a date) only the months that can hold later rows are read, with ``months`` only those.
+    """
+    root, name = path.rstrip("/").rsplit("/", 1)
+    live = published.files_of(spark, root, name)
+    fact = published.read_published(spark, root, name) if live else spark.read.parquet(path)
     if since is not None:
         fact = fact.filter((F.col("month") >= str(since)[:7]) & (F.col("date") >= F.lit(since)))
+    if months is not None:
+        fact = fact.filter(F.col("month").isin(months))
     return fact.select(*marts.FACT_COLUMNS)
 
 
-def publish(spark: SparkSession, build_root: str, out_root: str) -> None:
-    """Put the tables of a finished build in the place of the live ones."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(build_root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in fs.listStatus(path(build_root)):
-        live = path(out_root, status.getPath().getName())
-        if fs.exists(live):
-            fs.delete(live, True)
-        if not fs.rename(status.getPath(), live):
-            raise OSError(f"cannot publish {live}")
-    fs.delete(path(build_root), True)
+def staged(spark: SparkSession, raw_root: str, observed=lambda df, model: df
+           ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The staging models (prices, benchmarks, companies) over the raw tables."""
+    raw = {t: observed(spark.read.parquet(_path(raw_root, t)), t)
+           for t in ("stock_prices_daily", "benchmark_series_daily", "company_info")}
+    return (staging.stg_stock_prices(raw["stock_prices_daily"]),
+            staging.stg_benchmark_series(raw["benchmark_series_daily"]),
+            staging.stg_company_info(raw["company_info"]))
 
 
 def build_marts(spark: SparkSession, raw_root: str, out_root: str, as_of,
@@ -71,15 +88,13 @@ def build_marts(spark: SparkSession, raw_root: str, out_root: str, as_of,
     pivot, fact and dimension files), so they cost no extra pass over the raw data. Only
     the uniqueness checks read again, and they read the small written tables.
 
-    With failed checks the live tables stay as they are and the new ones are left in the
-    build folder (hidden from readers of ``out_root``) for a look.
+    With failed checks the published tables stay as they are and the new ones are left in the
+    build folder, unpublished, for a look (``sinks.published.sweep`` removes such folders).
 
     Returns ``{"fact_rows", "dim_rows", "pivot_rows", "checks"}``.
     """
-    build_root = _path(out_root, f"_build-{uuid.uuid4().hex}")
-    raw_prices = spark.read.parquet(_path(raw_root, "stock_prices_daily"))
-    raw_company = spark.read.parquet(_path(raw_root, "company_info"))
-    raw_bench = spark.read.parquet(_path(raw_root, "benchmark_series_daily"))
+    out_root = out_root.rstrip("/")
+    build_root = _path(out_root, f"build-{uuid.uuid4().hex}")
     nn = dict(checks.NOT_NULL)
     fresh = dict(checks.FRESHNESS)
     obs: dict[str, Observation] = {}
@@ -88,13 +103,12 @@ def build_marts(spark: SparkSession, raw_root: str, out_root: str, as_of,
         metrics = [F.count(F.lit(1)).alias("rows")]
         metrics += [F.sum(F.col(c).isNull().cast("long")).alias(f"nn_{c}") for c in nn.get(model, ())]
         if model in fresh:
-            metrics.append(F.max(fresh[model]).alias("max_date"))
+            metrics += [F.max(fresh[model]).alias("max_date"),
+                        F.max("ingested_at").cast("string").alias("ingest_mark")]
         obs[model] = Observation(model)
         return df.observe(obs[model], *metrics)
 
-    stg_prices = staging.stg_stock_prices(observed(raw_prices, "stock_prices_daily"))
-    stg_bench = staging.stg_benchmark_series(observed(raw_bench, "benchmark_series_daily"))
-    stg_company = staging.stg_company_info(observed(raw_company, "company_info"))
+    stg_prices, stg_bench, stg_company = staged(spark, raw_root, observed)
     for name, df in (("stg_stock_prices", stg_prices), ("stg_company_info", stg_company),
                      ("stg_benchmark_series", stg_bench)):
         materialise(df, name)  # staging models stay views
@@ -128,10 +142,17 @@ def build_marts(spark: SparkSession, raw_root: str, out_root: str, as_of,
     failed = [r for r in rows if r["status"] == "fail"]
     if failed and fail_on_error:
         raise DataQualityError(f"{len(failed)} data-quality checks failed: {failed}")
-    publish(spark, build_root, out_root)
+    seen = obs["stock_prices_daily"].get
+    newest = seen["max_date"] and str(seen["max_date"])
+    spark.createDataFrame([(newest, seen["ingest_mark"])], "date_mark string, ingest_mark string") \
+        .write.mode("overwrite").parquet(_path(build_root, MARKS))
+    names = ["dim_stocks", "benchmarks_pivot", "fact_daily_metrics", "data_quality", MARKS]
+    published.publish(spark, out_root, {n: _path(build_root, n) for n in names}, {
+        "fact_daily_metrics": published.parts_of(spark, _path(build_root, "fact_daily_metrics"), "month")
+        or [""]})
     read_fact(spark, _path(out_root, "fact_daily_metrics")).createOrReplaceTempView(
         "fact_daily_metrics")
-    spark.read.parquet(_path(out_root, "dim_stocks")).createOrReplaceTempView("dim_stocks")
+    read_mart(spark, out_root, "dim_stocks").createOrReplaceTempView("dim_stocks")
     return {"fact_rows": int(obs["fact_daily_metrics"].get["rows"]),
             "dim_rows": int(obs["dim_stocks"].get["rows"]), "pivot_rows": pivot_rows, "checks": rows}
 

@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 from marketlake.functions.expressions import age_days, days_before, parse_date, round_even
 from marketlake.operators.aggregates import (batch_profile, distinct_values, pivot_benchmarks,
                                              row_counts)
-from marketlake.operators.filters import incremental, restrict, select_range
+from marketlake.operators.dedup import latest_version
+from marketlake.operators.filters import (arrived_since, incremental, late_rows, restrict,
+                                          select_range)
 from marketlake.operators import quality as q
 from marketlake.operators.quality import orphan_rows
 from marketlake.operators.topk import top_n
 from marketlake.operators.windows import entity_window, moving_avg
 from marketlake.plans import dashboard as dash
-from marketlake.plans import marts, staging
+from marketlake.plans import marts, refresh, staging
 from marketlake.plans.checks import run_suite
 from marketlake.sinks import raw_store
 from marketlake.sources import documents as docs
@@ -263,6 +265,34 @@ def q_incremental_profile(spark, d):
     return batch_profile(q_incremental_prices(spark, d), "date", "symbol")
 
 
+@query("late_corrections")
+def q_late_corrections(spark, d):
+    """Rows of the second load for dates below the first load's mark, with the close they replace."""
+    raw = fx.corrected_prices(spark, d)
+    first = fx.first_load(raw)
+    late = late_rows(raw, first.select(F.max("date")).scalar(),
+                     first.select(F.max("ingested_at")).scalar())
+    before = latest_version(first, refresh.KEYS, "ingested_at", ["source_run_id"]).select(
+        *refresh.KEYS, F.col("close").alias("replaced_close"))
+    return late.select("symbol", "date", "close", "ingested_at", "source_run_id").join(
+        before, refresh.KEYS, "left")
+
+
+@query("fact_refreshed")
+def q_fact_refreshed(spark, d):
+    """The fact of the first load, refreshed with the second: what a rebuild of both gives."""
+    raw, bench = fx.corrected_prices(spark, d), fx.corrected_benchmarks(spark, d)
+    old_company = staging.stg_company_info(fx.first_company(spark, d))
+    old_bench = staging.stg_benchmark_series(fx.first_load(bench))
+    old = marts.fact_daily_metrics(staging.stg_stock_prices(fx.first_load(raw)), old_company, old_bench)
+    mark = fx.first_load(raw).select(F.max("ingested_at")).scalar()
+    latest = refresh.new_versions(raw, arrived_since(raw, mark))
+    rows = refresh.changed_rows(
+        old, latest, pivot_benchmarks(old_bench), pivot_benchmarks(staging.stg_benchmark_series(bench)),
+        old_company, stg_company(spark, d))
+    return refresh.refreshed(old, rows)
+
+
 @query("row_counts")
 def q_row_counts(spark, d):
     return row_counts({"stock_prices_daily": raw_prices(spark, d),

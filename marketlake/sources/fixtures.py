@@ -258,6 +258,37 @@ def ingest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         runs(raw_benchmarks(spark, sf_dir), "benchmark_series", "benchmark_series_daily"))
 
 
+# --- a second load that corrects the first ---------------------------------------------------
+# Rows that arrive from here on are the second load.
+SECOND_LOAD_FROM = "2024-01-16 00:00:00"
+
+
+def _corrections(raw: DataFrame) -> DataFrame:
+    """Every tenth event is about a day ten days before it arrives: a late correction."""
+    n = F.regexp_extract("source_run_id", r"(\d+)", 1).cast("bigint")
+    return raw.withColumn("date", F.when(n % 10 == 0, F.date_sub("date", 10)).otherwise(F.col("date")))
+
+
+def corrected_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw prices of both loads, late corrections included."""
+    return _corrections(raw_prices(spark, sf_dir))
+
+
+def corrected_benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _corrections(raw_benchmarks(spark, sf_dir))
+
+
+def first_load(raw: DataFrame) -> DataFrame:
+    """What had arrived before the second load."""
+    return raw.filter(F.col("ingested_at") < F.lit(SECOND_LOAD_FROM).cast("timestamp_ntz"))
+
+
+def first_company(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The company snapshots before the second load, which brings those of every seventh symbol."""
+    return raw_company(spark, sf_dir).filter(
+        (F.col("source_run_id") == "run_company_1") | (F.col("symbol") % 7 != 0))
+
+
 # --- inputs that make every operator do something --------------------------------------------
 # Days that bring the end of the long history to 2024-01-20, into the events' month.
 LONG_SHIFT_DAYS = 8112

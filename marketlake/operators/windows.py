@@ -3,14 +3,15 @@
 Every window is partitioned by an entity key (symbol or series); none is global. After
 latest-wins dedup an entity holds at most one row per date, so a window partition is
 bounded by the length of the calendar, not by data volume. Metrics that share a partition
-and order are evaluated by one ``Window`` operator over one sort.
+and order are evaluated by one ``Window`` operator over one sort. :func:`segmented` cuts few,
+long series into years, for as many tasks as there are years of data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from marketlake.functions.expressions import col_, safe_div
@@ -22,6 +23,43 @@ def entity_window(keys: Sequence[str] = ("symbol",), order: str = "date",
     return Window.partitionBy(*keys).orderBy(o)
 
 
+#: segment of rows without a date, after all years
+NO_DATE = 1_000_000
+
+
+def segmented(df: DataFrame, keys: Sequence[str] = ("symbol",), reach: int = 1,
+              order: str = "date") -> DataFrame:
+    """Rows for windows by entity and year, with the ``reach`` rows that precede each year carried in.
+
+    A few entities with long series (five benchmarks, 25 brands) give an entity window few tasks,
+    however long they are. Here every row gets ``segment``, its year, and each segment also gets copies (``carried``) of
+    the entity's last ``reach`` rows before it, from one or more earlier years. A window over
+    (``keys``, ``segment``) that looks back at most ``reach`` rows (1 for LAG, n - 1 for a mean over n) has the
+    entity window's result on the rows that aren't carried; drop the others after it.
+
+    The carried rows are found from the segments' ends alone: at most ``reach`` rows of each are
+    shuffled again, with one count a segment. Keys are not null, dates of an entity distinct.
+    """
+    rows = df.withColumn("segment", F.coalesce(F.year(order), F.lit(NO_DATE)))
+    own = [*keys, "segment"]
+    by_entity = Window.partitionBy(*keys).orderBy("segment")
+    sizes = rows.groupBy(*own).agg(F.count(F.lit(1)).alias("_n")).select(
+        *own, "_n", F.row_number().over(by_entity).alias("_index"),
+        F.sum("_n").over(running(by_entity)).alias("_upto"))
+    newest = Window.partitionBy(*own).orderBy(F.col(order).desc_nulls_first())
+    ends = rows.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") <= reach)
+    later = sizes.select(*keys, F.col("_index").alias("_target"), F.col("segment").alias("_segment"),
+                         (F.col("_upto") - F.col("_n")).alias("_before"))
+    carried = (ends.join(sizes, own)
+               .withColumn("_target", F.explode(F.sequence(F.col("_index") + 1, F.col("_index") + reach)))
+               .join(later, [*keys, "_target"])
+               # rows between this one and the segment's first
+               .filter(F.col("_before") - (F.col("_upto") - F.col("_back")) <= reach))
+    return rows.withColumn("carried", F.lit(False)).unionByName(
+        carried.select(*[F.col("_segment").alias("segment") if c == "segment" else c for c in rows.columns],
+                       F.lit(True).alias("carried")))
+
+
 def running(w: WindowSpec) -> WindowSpec:
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 

@@ -34,6 +34,9 @@ def _path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+FACT = "fact_daily_metrics"
+#: rows of each symbol and month of the fact
+COUNTS = "symbol_months"
 #: the newest date and ingest time that a build has seen
 MARKS = "build_marks"
 
@@ -49,6 +52,13 @@ def write_fact(fact: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("month").parquet(path))
 
 
+def write_counts(fact_path: str, path: str, spark: SparkSession) -> list[str]:
+    """The rows of each symbol and month of a written fact, by month; returns the months' folders."""
+    (spark.read.parquet(fact_path).groupBy("month", "symbol").agg(F.count("*").alias("rows"))
+     .hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(path))
+    return published.parts_of(spark, path, "month")
+
+
 def read_mart(spark: SparkSession, out_root: str, name: str) -> DataFrame:
     """A table of the published build."""
     return published.read_published(spark, out_root.rstrip("/"), name)
@@ -146,10 +156,10 @@ def build_marts(spark: SparkSession, raw_root: str, out_root: str, as_of,
     newest = seen["max_date"] and str(seen["max_date"])
     spark.createDataFrame([(newest, seen["ingest_mark"])], "date_mark string, ingest_mark string") \
         .write.mode("overwrite").parquet(_path(build_root, MARKS))
-    names = ["dim_stocks", "benchmarks_pivot", "fact_daily_metrics", "data_quality", MARKS]
-    published.publish(spark, out_root, {n: _path(build_root, n) for n in names}, {
-        "fact_daily_metrics": published.parts_of(spark, _path(build_root, "fact_daily_metrics"), "month")
-        or [""]})
+    parts = write_counts(_path(build_root, FACT), _path(build_root, COUNTS), spark) or [""]
+    names = ["dim_stocks", "benchmarks_pivot", FACT, COUNTS, "data_quality", MARKS]
+    published.publish(spark, out_root, {n: _path(build_root, n) for n in names},
+                      {FACT: parts, COUNTS: parts}, withdraw=["fact_by_symbol"])
     read_fact(spark, _path(out_root, "fact_daily_metrics")).createOrReplaceTempView(
         "fact_daily_metrics")
     read_mart(spark, out_root, "dim_stocks").createOrReplaceTempView("dim_stocks")

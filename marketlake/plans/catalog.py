@@ -20,7 +20,7 @@ from marketlake.operators.filters import (arrived_since, incremental, late_rows,
 from marketlake.operators import quality as q
 from marketlake.operators.quality import orphan_rows
 from marketlake.operators.topk import top_n
-from marketlake.operators.windows import entity_window, moving_avg
+from marketlake.operators.windows import entity_window, moving_avg, segmented
 from marketlake.plans import dashboard as dash
 from marketlake.plans import marts, refresh, staging
 from marketlake.plans.checks import run_suite
@@ -283,14 +283,17 @@ def q_fact_refreshed(spark, d):
     """The fact of the first load, refreshed with the second: what a rebuild of both gives."""
     raw, bench = fx.corrected_prices(spark, d), fx.corrected_benchmarks(spark, d)
     old_company = staging.stg_company_info(fx.first_company(spark, d))
-    old_bench = staging.stg_benchmark_series(fx.first_load(bench))
-    old = marts.fact_daily_metrics(staging.stg_stock_prices(fx.first_load(raw)), old_company, old_bench)
+    old_pivot = raw_store.written_once(
+        pivot_benchmarks(staging.stg_benchmark_series(fx.first_load(bench))), "old_pivot")
+    # as in the refresh job, what the last build wrote is read, not derived again
+    old = raw_store.written_once(marts.with_company(
+        marts.price_facts(staging.stg_stock_prices(fx.first_load(raw)), old_pivot), old_company), "old_fact")
     mark = fx.first_load(raw).select(F.max("ingested_at")).scalar()
-    latest = refresh.new_versions(raw, arrived_since(raw, mark))
+    latest = raw_store.written_once(refresh.new_versions(raw, arrived_since(raw, mark)), "latest")
     rows = refresh.changed_rows(
-        old, latest, pivot_benchmarks(old_bench), pivot_benchmarks(staging.stg_benchmark_series(bench)),
+        old, latest, old_pivot, pivot_benchmarks(staging.stg_benchmark_series(bench)),
         old_company, stg_company(spark, d))
-    return refresh.refreshed(old, rows)
+    return refresh.refreshed(old, raw_store.written_once(rows, "changed"))
 
 
 @query("row_counts")
@@ -328,6 +331,25 @@ def q_long_ma20(spark, d):
                     moving_avg("close", w, 20).alias("close_ma20"))
 
 
+@query("long_history_by_year")
+def q_long_by_year(spark, d):
+    """The windows of a long history by symbol and year instead of by symbol."""
+    staged = staging.stg_stock_prices(fx.raw_long_prices(spark, d), fx.LONG_HISTORY_TIE, by_year=True)
+    w = entity_window(["symbol", "segment"])
+    return segmented(staged, ["symbol"], 19).select(
+        "symbol", "date", "close", "daily_return", "volume_ma5", "carried",
+        moving_avg("close", w, 20).alias("close_ma20")).filter("NOT carried").drop("carried")
+
+
+@query("benchmarks_by_year")
+def q_benchmarks_by_year(spark, d):
+    """Changes of every brand's long series, taken as benchmark series, by series and year."""
+    raw = fx.raw_long_prices(spark, d).select(
+        F.col("symbol").alias("series_ticker"), "date", F.col("close").alias("value"), "ingested_at",
+        "source_run_id", *fx.LONG_HISTORY_TIE)
+    return staging.stg_benchmark_series(raw, fx.LONG_HISTORY_TIE, by_year=True)
+
+
 # --- inputs with gaps, part matches and windows that cut -------------------------------------
 
 
@@ -360,11 +382,17 @@ def q_vix_long(spark, d):
     return dash.vix_overlay(shifted_facts(spark, d), DISPLAY_ROWS)
 
 
+# The brands (by prefix) that the long trend shows.
+TREND_BRANDS = "Brand#1"
+
+
 @query("price_trend_long_history")
 def q_trend_long(spark, d):
-    """The trailing 30 days of a long history (of all its symbols)."""
-    facts = shifted_facts(spark, d)
-    return dash.price_trend(facts, facts.select("symbol"))
+    """The trailing 30 days of some symbols of a long history."""
+    raw = fx.shifted_long_prices(spark, d)
+    shown = read_table(spark, d, "part").filter(F.col("p_brand").startswith(TREND_BRANDS)).select(
+        F.col("p_brand").alias("symbol"))
+    return dash.price_trend(shifted_facts(spark, d), shown, raw.select(F.max("date")).scalar())
 
 
 @query("zero_price_returns")
@@ -444,13 +472,18 @@ def q_symbol_latest(spark, d):
 
 @query("comparison_display")
 def q_comparison_display(spark, d):
-    """One symbol's comparison with cumulative returns in percent."""
-    rows = dash.benchmark_comparison(price_facts(spark, d), DISPLAY_ROWS, SHOWN_SYMBOL)
+    """The comparison of every symbol with cumulative returns in percent."""
+    rows = dash.benchmark_comparison(price_facts(spark, d), DISPLAY_ROWS)
     return rows.select("symbol", "date", "stock_index", "sp500_index",
                        (F.col("cum_return") * 100.0).alias("cum_return_pct"),
                        (F.col("sp500_cum_return") * 100.0).alias("sp500_cum_return_pct"))
 
 
+@query("home_kpi_labels")
+def q_home_kpi_labels(spark, d):
+    return dash.home_kpi_labels(dash.home_kpis(dim(spark, d), price_facts(spark, d)))
+
+
 @query("screener_display")
 def q_screener_display(spark, d):
     return dash.screener_display(dash.screener(dim(spark, d), fact(spark, d)))

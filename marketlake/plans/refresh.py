@@ -30,7 +30,8 @@ from marketlake.operators.quality import DataQualityError
 from marketlake.operators.windows import (entity_window, pct_change, prev, price_change,
                                           range_volatility)
 from marketlake.plans import checks, marts, staging
-from marketlake.plans.build import (MARKS, read_fact, read_mart, staged, with_month, write_fact)
+from marketlake.plans.build import (COUNTS, FACT, MARKS, read_fact, read_mart, staged, with_month,
+                                    write_counts, write_fact)
 from marketlake.sinks import published
 
 KEYS = ["symbol", "date"]
@@ -96,7 +97,7 @@ def refresh_marts(spark: SparkSession, raw_root: str, out_root: str, overlap_day
     """
     raw_root, out_root = raw_root.rstrip("/"), out_root.rstrip("/")
     build_root = f"{out_root}/build-{uuid.uuid4().hex}"
-    old = read_fact(spark, f"{out_root}/fact_daily_metrics")
+    old = read_fact(spark, f"{out_root}/{FACT}")
     mark = read_mart(spark, out_root, MARKS).first()
     raw = spark.read.parquet(f"{raw_root}/stock_prices_daily")
     _, bench, company = staged(spark, raw_root)
@@ -113,13 +114,13 @@ def refresh_marts(spark: SparkSession, raw_root: str, out_root: str, overlap_day
                                 read_mart(spark, out_root, "dim_stocks"), dim), "_changed")
     months = [r.month for r in with_month(rows).select("month").distinct().collect()]
     n_rows = rows.count()
-    model, parts = "fact_daily_metrics", []
+    model, parts = FACT, []
     results = [q.check_model(dim, "dim_stocks", not_null=dict(checks.NOT_NULL)["dim_stocks"],
                              unique="symbol")]
     if months:
         same_months = read_fact(spark, f"{out_root}/{model}", months=months)
         write_fact(refreshed(same_months, rows), f"{build_root}/{model}")
-        parts = published.parts_of(spark, f"{build_root}/{model}", "month")
+        parts = write_counts(f"{build_root}/{model}", f"{build_root}/{COUNTS}", spark)
         results.append(q.check_model(
             spark.read.parquet(f"{build_root}/{model}"), model, not_null=dict(checks.NOT_NULL)[model],
             unique_combination=dict(checks.UNIQUE_COMBINATION)[model]))
@@ -133,7 +134,8 @@ def refresh_marts(spark: SparkSession, raw_root: str, out_root: str, overlap_day
     failed = [r for r in found if r["status"] == "fail"]
     if failed and fail_on_error:
         raise DataQualityError(f"{len(failed)} data-quality checks failed: {failed}")
-    tables = ["dim_stocks", "benchmarks_pivot", MARKS, "refresh_quality"] + [model] * bool(parts)
-    published.publish(spark, out_root, {t: f"{build_root}/{t}" for t in tables}, {model: parts},
-                      whole=False)
+    tables = ["dim_stocks", "benchmarks_pivot", MARKS, "refresh_quality", *([model, COUNTS] if parts else [])]
+    published.publish(spark, out_root, {t: f"{build_root}/{t}" for t in tables},
+                      {model: parts, COUNTS: parts}, whole=False,
+                      withdraw=["fact_by_symbol"] if parts else [])
     return {"changed_rows": n_rows, "months": sorted(months), "checks": found}

@@ -8,6 +8,7 @@ Folders that no entry needs any more are removed by :func:`sweep`, when no reade
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -42,11 +43,12 @@ def parts_of(spark: SparkSession, path: str, column: str) -> list[str]:
 
 
 def publish(spark: SparkSession, root: str, tables: dict[str, str],
-            parts: dict[str, list[str]] | None = None, whole: bool = True) -> int:
+            parts: dict[str, list[str]] | None = None, whole: bool = True,
+            withdraw: Sequence[str] = ()) -> int:
     """Publish written tables (name -> path, below ``root``) with one entry; returns its version.
 
     ``parts`` names the folders of a table that is published by parts. Without ``whole`` those
-    parts join or replace the ones published before.
+    parts join or replace the ones published before. Tables in ``withdraw`` are published no more.
     """
     base, rows = root.rstrip("/") + "/", []
     for name, path in tables.items():
@@ -55,6 +57,7 @@ def publish(spark: SparkSession, root: str, tables: dict[str, str],
         own = path[len(base):]  # a folder of tables may be moved as a whole
         for part in (parts or {}).get(name, [""]):
             rows.append((name, part, own, whole or not part))
+    rows += [(name, "", "", True) for name in withdraw]
     return append_log.append(spark, _log_root(root), spark.createDataFrame(rows, PUBLISHED))
 
 
@@ -65,7 +68,7 @@ def current(spark: SparkSession, root: str) -> DataFrame:
     since = F.max(F.when(F.col("whole"), F.struct("version", "writer"))).over(by_table)
     alive = log.withColumn("_since", since).filter(
         F.col("_since").isNull() | (F.struct("version", "writer") >= F.col("_since"))).drop("_since")
-    return append_log.newest(alive, ["table_name", "part"]).drop("whole")
+    return append_log.newest(alive, ["table_name", "part"]).filter("path != ''").drop("whole")
 
 
 def files_of(spark: SparkSession, root: str, name: str) -> list[str]:

@@ -2,8 +2,8 @@
 
 A multi-ticker download arrives wide: a date column plus one block of fields per ticker.
 Here a block is a struct column named by the ticker with the fields ``Open, High, Low,
-Close, Adj Close, Volume``. Wide -> long is a single ``inline(array(struct...))`` pass over
-the frame (no per-ticker filter-and-union loop, so the input is read once).
+Close, Adj Close, Volume``. Wide -> long explodes an array of (ticker, block) pairs in a single pass
+over the frame (no per-ticker filter-and-union loop, so the input is read once).
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +60,40 @@ def drop_incomplete(df: DataFrame, cols: Sequence[str] = ("close", "volume")) ->
     return df.dropna(how="any", subset=list(cols))
 
 
+#: blocks that are zipped with their tickers in one expression
+CHUNK = 500
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _blocks(wide: DataFrame, tickers: Sequence[str], date_col: str, field: str | None = None) -> DataFrame:
+    """Rows ``(ticker, day, block)`` of the tickers' blocks, or of one field of them.
+
+    The tickers are one literal array and the blocks one array of columns, zipped: a few nodes
+    per ticker in the plan, so a download of thousands of tickers is planned in seconds. They are
+    dealt in chunks, each an array of its own inside one pass over the frame. The blocks have one type.
+    """
+    chunks = []
+    for at in range(0, len(tickers), CHUNK):
+        some = tickers[at:at + CHUNK]
+        values = [f"{_q(t)}.{_q(field)}" if field else _q(t) for t in some]
+        chunks.append(f"arrays_zip(array({', '.join(map(_text, some))}), array({', '.join(values)}))")
+    pairs = f"explode(flatten(array({', '.join(chunks)}))) AS pair"
+    return wide.selectExpr(f"{_q(date_col)} AS day", pairs).select(
+        F.col("pair.0").alias("ticker"), "day", F.col("pair.1").alias("block"))
+
+
+def _by_type(wide: DataFrame, tickers: Sequence[str]) -> list[list[str]]:
+    """The tickers whose blocks have the same type together (mostly all)."""
+    types: dict[str, list[str]] = {}
+    blocks = {f.name: f.dataType.json() for f in wide.schema.fields}
+    for t in tickers:
+        types.setdefault(blocks[t], []).append(t)
+    return list(types.values())
+
+
 def prices_long(wide: DataFrame, tickers: Sequence[str], date_col: str = "Date") -> DataFrame:
     """Wide OHLCV blocks -> rows ``(symbol, date, open, high, low, close, adj_close, volume)``
     (S1, S2, S6, S7, U1). No block at all gives an empty frame with the schema."""
@@ -66,11 +101,12 @@ def prices_long(wide: DataFrame, tickers: Sequence[str], date_col: str = "Date")
     if not present:
         log.error("the download has none of the requested price blocks")
         return wide.sparkSession.createDataFrame([], PRICE_LONG_SCHEMA)
-    entries = [F.struct(F.lit(t).alias("symbol"), F.col(date_col).alias("Date"),
-                        *[F.col(f"{_q(t)}.{_q(f)}").alias(f) for f in WIDE_FIELDS])
-               for t in present]
-    long = wide.select(F.inline(F.array(*entries)))
-    return drop_incomplete(normalise_price_columns(long), ["close", "volume"])
+    # blocks of another type (fields, a volume of doubles) are a pass of their own
+    parts = [_blocks(wide, own, date_col).select(
+        F.col("ticker").alias("symbol"), F.col("day").alias("Date"),
+        *[F.col(f"block.{_q(f)}").alias(f) for f in WIDE_FIELDS]) for own in _by_type(wide, present)]
+    return drop_incomplete(normalise_price_columns(reduce(DataFrame.unionByName, parts)),
+                           ["close", "volume"])
 
 
 def prices_single(df: DataFrame, symbol: str) -> DataFrame:
@@ -86,9 +122,10 @@ def benchmark_long(wide: DataFrame, tickers: Sequence[str], date_col: str = "Dat
     if not present:
         log.error("the download has none of the requested series")
         return wide.sparkSession.createDataFrame([], BENCH_LONG_SCHEMA)
-    entries = [F.struct(F.lit(t).alias("series_ticker"), F.col(date_col).alias("date"),
-                        F.col(f"{_q(t)}.{_q(field)}").alias("value")) for t in present]
-    return drop_incomplete(wide.select(F.inline(F.array(*entries))), ["value"])
+    parts = [_blocks(wide, own, date_col, field).select(
+        F.col("ticker").alias("series_ticker"), F.col("day").alias("date"),
+        F.col("block").alias("value")) for own in _by_type(wide, present)]
+    return drop_incomplete(reduce(DataFrame.unionByName, parts), ["value"])
 
 
 # The lower-cased names that mark the value and the date of a one-series download.

@@ -174,3 +174,30 @@ def test_latest_date_of_empty_frame_is_null(spark):
     df = spark.createDataFrame([(D(2024, 1, 3),), (D(2024, 1, 9),)], "date date")
     assert latest_date(df).first().latest_date == D(2024, 1, 9)
     assert latest_date(df.limit(0)).first().latest_date is None     # one row, NULL
+
+
+def test_thousands_of_tickers_are_planned_in_seconds(spark):
+    import time
+    n = 5000
+    one = F.struct(*[F.lit(1.5).alias(f) for f in reshape.WIDE_FIELDS[:5]], F.lit(3).cast("long").alias("Volume"))
+    wide = spark.range(2).select(F.expr("date_add(date'2024-01-01', cast(id as int))").alias("Date"),
+                                 *[one.alias(f"T{i}") for i in range(n)])
+    tickers = [f"T{i}" for i in range(n)] + ["delisted"]
+    began = time.time()
+    long, bench = reshape.prices_long(wide, tickers), reshape.benchmark_long(wide, tickers)
+    assert time.time() - began < 30  # about 2 s; a struct of fields per ticker took 20 s
+    assert long.count() == 2 * n and long.select("symbol").distinct().count() == n
+    assert bench.count() == 2 * n
+
+
+def test_names_and_types_of_blocks(spark):
+    fields = ", ".join(f"`{f}` double" for f in reshape.WIDE_FIELDS[:5])
+    odd = "it's `a`.b\\c"
+    wide = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), (1.0, 2.0, 3.0, 4.0, 5.0, 6), (1.0, 2.0, 3.0, 4.0, 5.0, 6.0), None)],
+        f"Date date, `{odd.replace('`', '``')}` struct<{fields.replace('` ', '`: ')}, Volume: bigint>, "
+        f"B struct<{fields.replace('` ', '`: ')}, Volume: double>, C struct<{fields.replace('` ', '`: ')}, Volume: bigint>")
+    rows = {r.symbol: (r.close, r.volume) for r in reshape.prices_long(wide, [odd, "B", "C"]).collect()}
+    assert rows == {odd: (4.0, 6), "B": (4.0, 6)}
+    bench = {r.series_ticker: r.value for r in reshape.benchmark_long(wide, [odd, "B", "C"]).collect()}
+    assert bench == {odd: 4.0, "B": 4.0}

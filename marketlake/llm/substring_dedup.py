@@ -251,12 +251,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, longest: bool = False
 
 
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
-    """The contract's digest of :func:`substring_dedup` over ``documents``.
-
-    Levels above the window can't add a removed word, so the query needs none of them.
-    """
+    """The contract's digest of :func:`substring_dedup` over ``documents``, all levels: levels above the
+    window remove no further word, but tell how long each document's repeats are."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return substring_dedup(docs).select(
+    return substring_dedup(docs, longest=True).select(
         "doc_id", "n_words", "n_removed",
         F.when(F.col("kept_text").isNull(), F.col("words_sha256"))
-        .otherwise(F.sha2("kept_text", 256)).alias("kept_sha256"))
+        .otherwise(F.sha2("kept_text", 256)).alias("kept_sha256"),
+        F.col("longest_repeat").cast("long").alias("longest_repeat"))

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from marketlake.llm._names import any_names
 from marketlake.llm._store import written
 from marketlake.llm._text import ALNUM_WORD, Words, row_slices, window_hashes
 
@@ -205,6 +206,7 @@ def contaminated_words(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
 
 
+@any_names
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns, in which no window of an item occurs.
 

@@ -6,7 +6,8 @@ rate x tokens x posterior, match targets. Rates start at 1 and follow projected
 least-squares misfit, measured in the metric of the posteriors' second moments, where
 the step is 1. A gradient at a document depends on its posterior alone, and posteriors are
 rounded to ``GRID``: so documents of one posterior share a rate, the misfit of every iteration is a
-Spark aggregate over distinct posteriors, and the driver holds one number per domain.
+Spark aggregate over distinct posteriors, and the driver holds one number per domain. The fit ends
+where the projected gradient is zero, and tells wanted and reached totals.
 
 The classifier is a softmax regression over the words a text holds, their first bytes, and the last
 bytes before spaces, hashed into a fixed number of buckets. For each domain the buckets count
@@ -24,8 +25,10 @@ a domain without a weight keeps its natural share.
 
 Defined results: null and empty texts have no tokens and the domains' prior as posterior. A target of
 a domain that no labelled row has is left out and the others scaled up; without any, every rate
-is 1. Where all tokens are toxic the production targets are 0. Rows may repeat; each gets the same rate and copies. Extra columns are kept by
-:func:`mixed_documents` and ignored otherwise.
+is 1. Where all tokens are toxic the production targets are 0. An empty table gives no rows. Very long texts
+count whole, a slice at a time. Rows may repeat; each gets the same rate and copies, and so do rows of
+one posterior and id. Extra columns, whatever their names, are kept by :func:`mixed_documents` and
+ignored otherwise; where one is called mix_rate or mix_copies, the stage's own gets a number.
 """
 
 from __future__ import annotations
@@ -41,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
+from marketlake.llm._names import any_names
 from marketlake.llm._store import written
 from marketlake.llm._text import ALNUM_WORD, SPACED_WORD, Words, distinct_by_row, list_column, mix, row_slices
 
@@ -53,8 +57,8 @@ CHOSEN, L2, ROUNDS = 32, 1e-4, 300
 GRID = 1000
 #: end of the names of the domains that the production mix cuts
 TOXIC = "/toxic"
-#: the fit ends when no domain moves by more than this share of the mix
-TOLERANCE, ITERATIONS = 1e-4, 60
+#: the fit ends when no rate moves by more than this
+TOLERANCE, ITERATIONS = 1e-3, 60
 
 
 @dataclass(frozen=True)
@@ -220,25 +224,59 @@ def _rate(posterior: Column, steps: list[np.ndarray]) -> Column:
 
 
 def fit_rates(mass: DataFrame, targets: np.ndarray) -> list[np.ndarray]:
-    """The projected steps for ``mass`` (posterior, tokens) and token targets by domain."""
+    """The projected steps for ``mass`` (posterior, tokens) and token targets by domain.
+
+    They end when no rate would move by more than ``TOLERANCE``: there the projected gradient is 0,
+    which is the optimum, whether the targets can be reached or not.
+    """
     k = len(targets)
     p = [F.col("posterior")[i] / GRID for i in range(k)]
     moments = mass.agg(*(F.sum(p[i] * p[j] * F.col("tokens")) for i in range(k) for j in range(k)))
     metric = np.array(moments.first(), float).reshape(k, k)
     inverse = np.linalg.pinv(metric, rcond=1e-9, hermitian=True)
     steps: list[np.ndarray] = []
-    before = None
     for _ in range(ITERATIONS):
-        rated = mass.select("*", _rate(F.col("posterior"), steps).alias("rate"))
-        totals = np.array(rated.agg(*(F.sum(F.col("rate") * F.col("tokens") * x) for x in p)).first(),
-                          float)
-        if before is not None and np.abs(totals - before).max() <= TOLERANCE * targets.sum():
-            break
-        before = totals
-        steps.append(inverse @ (totals - targets))
+        now = _rate(F.col("posterior"), steps)
+        moved = F.max(F.abs(now - _rate(F.col("posterior"), steps[:-1])))
+        *totals, most = mass.agg(*_totals(now, k), moved).first()
+        if steps and most <= TOLERANCE:
+            return steps
+        steps.append(inverse @ (np.array(totals, float) - targets))
     return steps
 
 
+def _totals(rate: Column, domains: int) -> list[Column]:
+    """Expected tokens by domain at a rate."""
+    return [F.sum(rate * F.col("tokens") * (F.col("posterior")[i] / GRID)) for i in range(domains)]
+
+
+@dataclass(frozen=True)
+class Mix:
+    """The steps to the rates, with wanted and reached tokens by domain."""
+
+    steps: tuple[np.ndarray, ...]
+    wanted: dict[str, float]
+    reached: dict[str, float]
+
+    def rate(self, posterior: Column) -> Column:
+        return _rate(posterior, list(self.steps))
+
+
+def fit_mix(mass: DataFrame, domains: tuple[str, ...], weights: dict[str, float] | None = None,
+            tokens: float | None = None) -> Mix:
+    """The mix of ``mass`` (posterior, tokens) for target weights, by default the production targets."""
+    if any(w < 0 for w in (weights or {}).values()):
+        raise ValueError("a target weight is negative")
+    size = mass.agg(F.sum("tokens")).first()[0] or 0
+    targets = target_totals(mass, domains, weights, tokens or size) if size else None
+    if targets is None:
+        return Mix((), {}, {})
+    steps = fit_rates(mass, targets)
+    reached = mass.agg(*_totals(_rate(F.col("posterior"), steps), len(domains))).first()
+    return Mix(tuple(steps), dict(zip(domains, targets.tolist(), strict=True)),
+               dict(zip(domains, map(float, reached), strict=True)))
+
+
 def target_totals(mass: DataFrame, domains: tuple[str, ...], weights: dict[str, float] | None,
                   size: float) -> np.ndarray | None:
     """Token targets by domain for ``mass``, ``size`` in all; None if nothing is asked for."""
@@ -261,35 +299,46 @@ def target_totals(mass: DataFrame, domains: tuple[str, ...], weights: dict[str,
     return share / share.sum() * size if share.sum() else None
 
 
-def mixing_rates(docs: DataFrame, model: DomainModel, weights: dict[str, float] | None = None,
-                 tokens: float | None = None, keep: list[str] | None = None) -> DataFrame:
-    """doc (a struct of ``keep``, doc_id if not given), n_words, posterior, rate and copies.
+def scored_documents(docs: DataFrame, model: DomainModel, keep: list[str]) -> DataFrame:
+    """doc (a struct of ``keep``), tokens and posterior (an array in steps of 1 / GRID) of every row.
 
-    ``weights`` are shares of the mix by domain, by default the production targets. ``tokens`` is the
-    size of the mix, by default that of the input. posterior is a map by domain.
+    Without the text among ``keep`` the scores are written, a few dozen bytes a row, so that no text
+    is scored twice; with it they are scored at each use, and no text is written.
     """
-    keep = keep or ["doc_id"]
-    if any(w < 0 for w in (weights or {}).values()):
-        raise ValueError("a target weight is negative")
     kept = StructType([docs.schema[c] for c in keep])
     added = [StructField("tokens_", LongType()), StructField("posterior_", ArrayType(LongType()))]
     wanted = list(dict.fromkeys([*keep, "text"]))
     rows = docs.select(*wanted).mapInArrow(
         _with_posteriors(model, keep), StructType([*kept.fields, *added]))
-    # texts are scored once for the masses and again for the rates; nothing of them is written
     rows = rows.select(F.struct(*keep).alias("doc"), F.col("tokens_").alias("tokens"),
                        F.col("posterior_").alias("posterior"))
-    mass = written(rows.groupBy("posterior").agg(F.sum("tokens").alias("tokens")), "mass")
-    size = mass.agg(F.sum("tokens")).first()[0] or 0
-    targets = target_totals(mass, model.domains, weights, tokens or size) if size else None
-    steps = [] if targets is None else fit_rates(mass, targets)
-    rate = _rate(F.col("posterior"), steps)
+    return rows if "text" in keep else written(rows, "scored")
+
+
+def posterior_mass(rows: DataFrame) -> DataFrame:
+    """Tokens by distinct posterior, written."""
+    return written(rows.groupBy("posterior").agg(F.sum("tokens").alias("tokens")), "mass")
+
+
+def _copies(rate: Column) -> Column:
     chance = F.pmod(F.xxhash64("doc.doc_id"), F.lit(1 << 52)) / float(1 << 52)
+    return F.floor(rate) + (chance < rate - F.floor(rate)).cast("long")
+
+
+def mixing_rates(docs: DataFrame, model: DomainModel, weights: dict[str, float] | None = None,
+                 tokens: float | None = None, keep: list[str] | None = None) -> DataFrame:
+    """doc (a struct of ``keep``, doc_id if not given), n_words, posterior, rate and copies.
+
+    ``weights`` are shares of the mix by domain, by default the production targets. ``tokens`` is the
+    size of the mix, by default that of the input. posterior is a map by domain.
+    """
+    rows = scored_documents(docs, model, keep or ["doc_id"])
+    rate = fit_mix(posterior_mass(rows), model.domains, weights, tokens).rate(F.col("posterior"))
     named = F.map_from_arrays(F.array(*(F.lit(d) for d in model.domains)).cast("array<string>"),
                               F.transform("posterior", lambda p: p / GRID))
     return rows.withColumn("rate", rate).select(
         "doc", F.col("tokens").alias("n_words"), named.alias("posterior"), "rate",
-        (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).alias("copies"))
+        _copies(F.col("rate")).alias("copies"))
 
 
 def label_domains(labels: DataFrame, docs: DataFrame) -> DataFrame:
@@ -300,6 +349,7 @@ def label_domains(labels: DataFrame, docs: DataFrame) -> DataFrame:
                     .otherwise(F.col("lang")).alias("domain")))
 
 
+@any_names
 def mixed_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None
                     ) -> DataFrame:
     """The rows of ``docs`` with at least one copy, with mix_rate and mix_copies."""
@@ -318,15 +368,40 @@ def _posterior_columns(domains: tuple[str, ...]) -> list[Column]:
             n += 1
             name = f"p_{d}_{n}".replace("/", "_")
         names[name.lower()] = name
-    return [F.coalesce(F.col("posterior")[d], F.lit(0.0)).alias(name)
-            for d, name in zip(domains, names.values(), strict=True)]
+    return [(F.col("posterior")[i] / GRID).alias(name) for i, name in enumerate(names.values())]
+
+
+def even_weights(domains: tuple[str, ...]) -> dict[str, float]:
+    """Stated weights of the query's second mix: clean domains in equal parts, toxic ones not at all."""
+    return {d: 0.0 if d.endswith(TOXIC) else 1.0 for d in domains}
 
 
 def op3_source_mixing(spark, sf_dir: str) -> DataFrame:
-    """Posteriors by learned domain, rates and copies of every row of ``documents`` for the production
-    targets."""
+    """Posteriors by learned domain of every row of ``documents``, and two mixes of the input's size.
+
+    ``rate`` and ``copies`` are for the production targets, ``even_rate`` and ``even_copies`` for
+    :func:`even_weights`. ``domain`` is the row's likeliest domain, with the tokens that each mix
+    wanted of it and reached (null without domains).
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = fit_domains(docs, label_domains(labels, docs))
-    return mixing_rates(docs, model).select(
-        "doc.doc_id", "n_words", *_posterior_columns(model.domains), "rate", "copies")
+    rows = scored_documents(docs, model, ["doc_id"])
+    mass = posterior_mass(rows)
+    mixes = {"": fit_mix(mass, model.domains),
+             "even_": fit_mix(mass, model.domains, even_weights(model.domains))}
+    names = F.array(*(F.lit(d) for d in model.domains)).cast("array<string>")
+    likeliest = F.get(names, (F.array_position("posterior", F.array_max("posterior")) - 1).cast("int"))
+
+    def of_domain(totals: dict[str, float]) -> Column:
+        known = F.from_json(F.lit(json.dumps(totals)), "map<string,double>")
+        return F.try_element_at(known, F.col("domain"))
+
+    rows = rows.withColumn("domain", likeliest)
+    rows = rows.withColumns({f"{k}rate": m.rate(F.col("posterior")) for k, m in mixes.items()})
+    return rows.select(
+        "doc.doc_id", F.col("tokens").alias("n_words"),
+        *_posterior_columns(model.domains), "domain",
+        *(c for k, m in mixes.items() for c in (
+            F.col(f"{k}rate"), _copies(F.col(f"{k}rate")).alias(f"{k}copies"),
+            of_domain(m.wanted).alias(f"{k}wanted"), of_domain(m.reached).alias(f"{k}reached"))))

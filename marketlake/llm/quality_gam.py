@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm._names import any_names
 from marketlake.llm._store import written
 from marketlake.llm._text import SPACED_WORD, Words, mix, row_slices, text_bytes, window_hashes
 
@@ -269,6 +270,7 @@ def _keep(model: Gam, threshold: float) -> Callable:
     return run
 
 
+@any_names
 def good_documents(docs: DataFrame, model: Gam, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose score reaches ``threshold``."""
     return docs.mapInArrow(_keep(model, threshold), docs.schema)

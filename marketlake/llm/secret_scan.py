@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.llm._names import any_names
 from marketlake.llm._store import written
 
 # The kinds of base spans, their patterns, and the least length of the whole match
@@ -213,6 +214,7 @@ def secret_spans(docs: DataFrame, rate: float = RATE, keep: list[str] | None = N
         .otherwise(F.array_sort(F.concat("base", "random"))).alias("spans"))
 
 
+@any_names
 def redacted(docs: DataFrame, rate: float = RATE, mask: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every span of the text replaced by ``mask``; n_chars, if there, follows.
 

@@ -35,6 +35,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from marketlake.llm._graph import components
 from marketlake.llm._groups import bucket_runs
+from marketlake.llm._names import any_names
 from marketlake.llm._store import written
 from marketlake.llm._text import row_slices
 
@@ -192,6 +193,7 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE,
         "doc_id", "fp", "component_id")
 
 
+@any_names
 def near_duplicates_removed(docs: DataFrame, shingle: int = SHINGLE,
                             max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each component, with the columns of ``docs``.

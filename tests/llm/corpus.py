@@ -10,7 +10,8 @@ SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: names that the operators use themselves
 CLASHES = ["fp", "key", "row_id", "spans", "base", "doc", "rate", "score", "h", "n_words", "marks",
-           "tokens", "posterior", "copies", "root", "component_id", "end", "start", "copy", "first"]
+           "tokens", "posterior", "copies", "root", "component_id", "end", "start", "copy", "first",
+           "tokens_", "posterior_", "mix_rate", "mix_copies", "a.b", "with space", "`tick`", "further6_"]
 
 
 def lower(text: str | None) -> str:

@@ -79,6 +79,18 @@ def test_stages_keep_columns(spark, name):
         assert found.count() <= len(data) and (data == [] or found.count() > 0)
 
 
+def test_pipeline_over_odd_tables(spark, tmp_dir):
+    """Nulls, repeated rows, no rows, and further columns of any name, through all stages."""
+    for k, data in enumerate((odd_rows(), [])):
+        docs = documents(spark, data, extra=True)
+        docs.write.parquet(f"{tmp_dir}/{k}/documents.parquet")
+        labels(spark).write.parquet(f"{tmp_dir}/{k}/labels.parquet")
+        items(spark).write.parquet(f"{tmp_dir}/{k}/benchmark.parquet")
+        found = corpus_pipeline.run(spark, f"{tmp_dir}/{k}")
+        assert found.columns == [*docs.columns, "mix_rate_2", "mix_copies_2"]
+        assert (found.count() > 0) == (data != [])
+
+
 def test_embeddings_empty(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.embedding_components(none).collect() == []
@@ -94,6 +106,8 @@ def test_odd_rows_of_simhash_match_brute_force(spark):
 def test_every_query_runs_over_its_whole_table(spark):
     tables = {"op9_embedding_dedup": "embeddings", "op10_warc": "pages"}
     for name, query in catalog.QUERIES.items():
+        if name == "op11_embedding_whitening":  # a row per component: tests/llm/test_whitening.py
+            continue
         table = spark.read.parquet(f"{SF_SMALL}/{tables.get(name, 'documents')}.parquet")
         found = written(query(spark, SF_SMALL), "found")
         key = table.columns[0]

@@ -171,6 +171,22 @@ def test_toxic_documents_leave_the_mix(spark):
     assert len(kept & toxic) <= 0.2 * len(toxic) and len(clean - kept) <= 0.05 * len(clean)
 
 
+def test_two_mixes_reach_what_they_want(spark, tmp_dir):
+    docs, labels = mixing_corpus(spark)
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    labels.write.parquet(f"{tmp_dir}/labels.parquet")
+    found = mixing.op3_source_mixing(spark, tmp_dir).collect()
+    size = sum(r.n_words for r in found)
+    for k in ("", "even_"):
+        for d, p in (("de", "p_de"), ("en", "p_en"), ("en/toxic", "p_en_toxic")):
+            own = [r for r in found if r.domain == d]
+            total = sum(r[f"{k}rate"] * r.n_words * r[p] for r in found)
+            assert all(r[f"{k}reached"] == pytest.approx(total) for r in own)
+            assert total == pytest.approx(own[0][f"{k}wanted"], abs=0.02 * size)
+    wanted = {r.domain: r.even_wanted for r in found}
+    assert wanted == {"de": pytest.approx(size / 2), "en": pytest.approx(size / 2), "en/toxic": 0.0}
+
+
 def lopsided_corpus(spark, n=600):
     """90% of one language, a fifth language, and a few toxic documents."""
     rng = random.Random(3)

@@ -25,6 +25,8 @@ ids included. Extra columns are ignored. Positions are code points, ends exclusi
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,24 +68,57 @@ ALPHABETS = (
 )
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _indexes(n: Column) -> Column:
+    """0, 1, ... n - 1."""
+    return F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: i < n)
+
+
+def _block(n: Column) -> Column:
+    return F.ceil(F.sqrt(F.greatest(n, F.lit(1)).cast("double"))).cast("int")
+
+
+def prefixes(values: Column, join: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """``join`` of each value with all before it, in blocks of the root of the array's length.
+
+    A fold can't build an array without copying it at every step; here a value is joined with those
+    of its block alone, and with one number for the blocks before.
+    """
+    def of(x: Column, size: Column) -> Column:
+        def part(first: Column, length: Column) -> Column:
+            return F.aggregate(F.slice(x, first + 1, length), zero, join)
+
+        blocks = _indexes(F.ceil(F.size(x) / size).cast("int"))
+        return _let(F.transform(blocks, lambda k: part(k * size, size)), lambda sums: _let(
+            F.transform(sums, lambda _, k: F.aggregate(F.slice(sums, F.lit(1), k), zero, join)),
+            lambda before: F.transform(x, lambda _, i: join(
+                F.get(before, F.floor(i / size).cast("int")), part(i - i % size, i % size + 1)))))
+
+    return _let(values, lambda x: _let(_block(F.size(x)), lambda size: of(x, size)))
+
+
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches: array of struct<start, text>.
 
     The gaps are what splitting leaves; a match starts where the gaps and matches before it end.
     """
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), hits.alias("hit"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,text:string>>")
-                     .alias("out"))
-
-    def add(seen: Column, piece: Column) -> Column:
-        at = seen["at"] + F.length(piece["gap"])
-        more = F.array(F.struct(at.alias("start"), piece["hit"].alias("text")))
-        return F.when(piece["hit"].isNull(), seen).otherwise(F.struct(
-            (at + F.length(piece["hit"])).alias("at"), F.concat(seen["out"], more).alias("out")))
+    def located(hits: Column) -> Column:
+        gaps = F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits)), F.length)
+        before = F.transform(hits, lambda _, i: F.when(i > 0, F.length(F.get(hits, i - 1))).otherwise(0))
+        starts = prefixes(F.zip_with(gaps, before, _add), _add, F.lit(0))
+        return F.zip_with(starts, hits, lambda at, hit: F.struct(at.alias("start"), hit.alias("text")))
 
-    found = F.aggregate(pieces, start, add, lambda seen: seen["out"])
-    return F.when(text.rlike(pattern), found).otherwise(start["out"])
+    none = F.array().cast("array<struct<start:int,text:string>>")
+    return F.when(text.rlike(pattern), _let(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), located)).otherwise(none)
 
 
 def _spans(found: Column, kind: str, long_enough: Column | None) -> Column:
@@ -177,16 +212,22 @@ def secret_spans(docs: DataFrame, rate: float = RATE, keep: list[str] | None = N
                     matches(text, _RUN).alias("runs"))
         .withColumn("row_id", F.monotonically_increasing_id()), "secrets")
 
-    def loose(found: Column | str) -> Column:
-        return F.filter(found, lambda r: ~F.exists("base", lambda b: (b["start"] <= r["start"]) & (
-            b["end"] >= r["start"] + F.length(r["text"]))))
-
-    runs = rows.select("row_id", "base", F.explode(loose("runs")).alias("r"))
+    runs = rows.select("row_id", F.explode("runs").alias("r"))
     parts = F.concat(*(matches(F.col("r.text"), cut) for cut in _PARTS))
     found = F.array_distinct(F.concat(F.array("r"), F.transform(parts, lambda m: F.struct(
         (F.col("r.start") + m["start"]).alias("start"), m["text"].alias("text")))))
-    tokens = runs.select("row_id", F.explode(loose(found)).alias("r")).select(
-        "row_id", F.col("r.start").alias("start"), F.col("r.text").alias("token"))
+    candidates = runs.select("row_id", F.explode(found).alias("r")).select(
+        "row_id", F.col("r.start").alias("start"), (F.col("r.start") + F.length("r.text")).alias("end"),
+        F.col("r.text").alias("token"))
+    fixed = rows.where(F.size("runs") > 0).select("row_id", F.explode("base").alias("b")).select(
+        "row_id", "b.start", "b.end", F.lit(None).cast("string").alias("token"))
+    # a candidate lies inside a base span if one that starts no later ends no earlier
+    so_far = Window.partitionBy("row_id").orderBy("start", F.col("token").isNotNull()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    covered = F.max(F.when(F.col("token").isNull(), F.col("end"))).over(so_far)
+    tokens = candidates.unionByName(fixed).withColumn("covered", covered).where(
+        F.col("token").isNotNull() & (F.coalesce("covered", F.lit(-1)) < F.col("end"))).select(
+        "row_id", "start", "token")
     tested = written(_battery(tokens).select(
         "row_id", "start", (F.col("start") + F.length("token")).alias("end"),
         F.concat("encoding", F.lit("/"), F.least(F.floor(F.log2("n") * 2), F.lit(20)))
@@ -196,24 +237,49 @@ def secret_spans(docs: DataFrame, rate: float = RATE, keep: list[str] | None = N
     cutoffs = written(_cutoffs(tested, rate), "cutoffs")
     random = (tested.join(cutoffs, "stratum", "left")
               .where(F.col("cutoff").isNull() | (F.col("bin") < F.col("cutoff")))
-              .groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct(
-                  "start", (-F.col("end")).alias("back")))).alias("random")))
-    # a span lies inside another one if one before it in this order ends no earlier
-    none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
-
-    def add(seen: Column, s: Column) -> Column:
-        new = F.struct(s["start"].alias("start"), F.lit(KINDS.index("random")).alias("rank"),
-                       (-s["back"]).alias("end"))
-        return F.when(F.try_element_at(seen, F.lit(-1))["end"] >= -s["back"], seen).otherwise(
-            F.concat(seen, F.array(new)))
-
-    random = random.select("row_id", F.aggregate("random", none, add).alias("random"))
+              .withColumn("reach", F.max("end").over(
+                  Window.partitionBy("row_id").orderBy("start", F.desc("end")).rowsBetween(
+                      Window.unboundedPreceding, -1)))
+              # a span lies inside another one if one before it in this order ends no earlier
+              .where(F.col("reach").isNull() | (F.col("reach") < F.col("end")))
+              .groupBy("row_id").agg(F.collect_list(F.struct(
+                  "start", F.lit(KINDS.index("random")).alias("rank"), "end")).alias("random")))
     return rows.join(random, "row_id", "left").select(
         "doc", "base",
         F.when(F.col("random").isNull(), F.col("base"))
         .otherwise(F.array_sort(F.concat("base", "random"))).alias("spans"))
 
 
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    """``text`` with ``mask`` in the place of each run of overlapping spans.
+
+    The text is cut at every span of a block of spans first, then inside the block, so that a cut
+    reads a block's characters and not the whole text.
+    """
+    def cut(s: Column, ends: Column, size: Column) -> Column:
+        def at(i: Column) -> Column:  # where the spans before i end
+            return F.when(i > 0, F.get(ends, i - 1)).otherwise(0)
+
+        def block(k: Column) -> Column:
+            low, last = at(k * size), F.least((k + 1) * size, F.size(s)) - 1
+            inner = F.substring(text, low + 1, F.get(ends, last) - low)
+
+            def pieces(own: Column) -> Column:
+                return F.transform(F.slice(s, k * size + 1, size), lambda x, i: _let(
+                    at(k * size + i), lambda seen: F.when(x["start"] >= seen, F.concat(
+                        F.substring(own, seen - low + 1, x["start"] - seen), F.lit(mask))).otherwise("")))
+
+            return F.array_join(_let(inner, pieces), "")
+
+        blocks = F.transform(_indexes(F.ceil(F.size(s) / size).cast("int")), block)
+        rest = F.substring(text, F.get(ends, F.size(ends) - 1) + 1, F.length(text))
+        return F.concat(F.array_join(blocks, ""), rest)
+
+    ends = prefixes(F.transform(spans, lambda x: x["end"]), lambda a, b: F.greatest(a, b), F.lit(0))
+    return _let(spans, lambda s: _let(ends, lambda e: _let(
+        _block(F.size(s)), lambda size: cut(s, e, size))))
+
+
 @any_names
 def redacted(docs: DataFrame, rate: float = RATE, mask: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every span of the text replaced by ``mask``; n_chars, if there, follows.
@@ -232,16 +298,7 @@ def redacted(docs: DataFrame, rate: float = RATE, mask: str = "[REDACTED]") -> D
     rows = docs.select(F.struct(*docs.columns).alias("doc")).alias("d").join(
         known.alias("k"), same, "left").select("doc", "spans")
     text = F.col("doc.text")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def add(seen: Column, s: Column) -> Column:
-        gap = F.substring(text, seen["at"] + 1, F.greatest(s["start"] - seen["at"], F.lit(0)))
-        new = F.when(s["start"] >= seen["at"], F.lit(mask)).otherwise(F.lit(""))
-        return F.when(s["end"] <= seen["at"], seen).otherwise(F.struct(
-            s["end"].alias("at"), F.concat(seen["out"], gap, new).alias("out")))
-
-    clean = F.aggregate("spans", start, add, lambda seen: F.concat(
-        seen["out"], F.substring(text, seen["at"] + 1, F.length(text))))
+    clean = _masked(text, F.col("spans"), mask)
     some = F.col("spans").isNotNull()
     changed = rows.select("doc", F.when(some, clean).otherwise(text).alias("clean"), some.alias("some"))
     doc = F.col("doc").withField("text", F.col("clean"))

@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marketlake.llm._store import scratch_path
+from marketlake.llm import secret_scan
 from marketlake.llm.license_scan import (
     PHRASES,
     SuffixAutomaton,
@@ -261,3 +262,44 @@ def test_no_pages(spark):
     folder = scratch_path(spark, "warc")
     index = write_bundles(spark.createDataFrame([], "page_id long, url string, html string"), folder)
     assert index.count() == 0 and read_bundles(index, folder).count() == 0
+
+
+def test_a_text_of_very_many_spans(spark):
+    """100,000 spans in one text: no step copies what it has found so far."""
+    import time
+    n = 100_000
+    text = "token=abcdef12 " * n
+    docs = documents(spark, [(1, text, "en", "s", len(text))])
+    began = time.time()
+    found = secret_scan.secret_spans(docs).first()
+    assert [(s.start, s.end) for s in found.base] == [(15 * i, 15 * i + 14) for i in range(n)]
+    assert secret_scan.redacted(docs).first().text == "[REDACTED] " * n
+    assert time.time() - began < 90  # seconds; quadratic forms take hours
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 8, 9, 10, 50])
+def test_prefixes(spark, n):
+    rng = random.Random(n)
+    values = [rng.randrange(100) for _ in range(n)]
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    add, most = df.select(
+        secret_scan.prefixes(F.col("v"), lambda a, b: a + b, F.lit(0)),
+        secret_scan.prefixes(F.col("v"), lambda a, b: F.greatest(a, b), F.lit(0))).first()
+    assert add == [sum(values[:i + 1]) for i in range(n)]
+    assert most == [max(values[:i + 1]) for i in range(n)]
+
+
+def test_masks_of_overlapping_spans(spark):
+    rng = random.Random(4)
+    text = "".join(rng.choice("abcdé ") for _ in range(400))
+    for n in (0, 1, 5, 60):
+        spans = sorted((a, 0, a + rng.randrange(1, 30)) for a in (rng.randrange(360) for _ in range(n)))
+        df = spark.createDataFrame([(text, spans)], "t string, s array<struct<start:int,rank:int,end:int>>")
+        got = df.select(F.when(F.size("s") > 0, secret_scan._masked(F.col("t"), F.col("s"), "#"))
+                        .otherwise(F.col("t"))).first()[0]
+        want, at = "", 0
+        for start, _, end in spans:
+            if end > at:
+                want += text[at:start] + "#" if start >= at else ""
+                at = end
+        assert got == want + text[at:]

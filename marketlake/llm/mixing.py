@@ -5,8 +5,8 @@ asks for document rates r >= 0 whose expected token totals by domain, the sum of
 rate x tokens x posterior, match targets. Rates start at 1 and follow projected gradients of the
 least-squares misfit, measured in the metric of the posteriors' second moments, where
 the step is 1. A gradient at a document depends on its posterior alone, and posteriors are
-rounded to ``GRID``: so documents of one posterior share a rate, the misfit of every iteration is a
-Spark aggregate over distinct posteriors, and the driver holds one number per domain. The fit ends
+rounded to ``GRID``: so documents of one posterior share a rate, the misfit of every iteration is
+summed by tasks over distinct posteriors, and the driver holds sums by domain and pair of domains. The fit ends
 where the projected gradient is zero, and tells wanted and reached totals.
 
 The classifier is a softmax regression over the words a text holds, their first bytes, and the last
@@ -58,7 +58,7 @@ GRID = 1000
 #: end of the names of the domains that the production mix cuts
 TOXIC = "/toxic"
 #: the fit ends when no rate moves by more than this
-TOLERANCE, ITERATIONS = 1e-3, 60
+TOLERANCE, ITERATIONS = 1e-3, 30
 
 
 @dataclass(frozen=True)
@@ -223,25 +223,69 @@ def _rate(posterior: Column, steps: list[np.ndarray]) -> Column:
         F.zip_with(posterior, step, lambda p, s: p * s / GRID), F.lit(0.0), lambda a, b: a + b)))
 
 
+@dataclass(frozen=True)
+class _State:
+    """The mix after some steps: expected tokens by domain, second moments of the posteriors with a
+    rate above 0, and how far the last step moved any rate."""
+
+    totals: np.ndarray
+    active: np.ndarray
+    moved: float
+
+
+def _measure(steps: list[np.ndarray], k: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, moved = np.zeros(k + k * k), 0.0
+        for batch in batches:
+            p = batch.column("posterior").flatten().to_numpy().reshape(-1, k) / GRID
+            t = batch.column("tokens").to_numpy().astype(float)
+            rate = before = np.ones(len(p))
+            for step in steps:
+                before, rate = rate, np.maximum(0, rate - p @ step)
+            total[:k] += (rate * t) @ p
+            some = rate > 0
+            total[k:] += ((p[some] * t[some, None]).T @ p[some]).ravel()
+            moved = max(moved, np.abs(rate - before).max(initial=0.0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(k + k * k)), pa.array(total), pa.array(np.full(k + k * k, moved))],
+            ["at", "total", "moved"])
+    return run
+
+
+def _state(mass: DataFrame, steps: list[np.ndarray], k: int) -> _State:
+    rows = mass.mapInArrow(_measure(steps, k), "at long, total double, moved double").groupBy("at").agg(
+        F.sum("total").alias("total"), F.max("moved").alias("moved")).orderBy("at").collect()
+    total = np.array([r.total for r in rows] or [0.0] * (k + k * k))
+    return _State(total[:k], total[k:].reshape(k, k), max((r.moved for r in rows), default=0.0))
+
+
 def fit_rates(mass: DataFrame, targets: np.ndarray) -> list[np.ndarray]:
     """The projected steps for ``mass`` (posterior, tokens) and token targets by domain.
 
-    They end when no rate would move by more than ``TOLERANCE``: there the projected gradient is 0,
-    which is the optimum, whether the targets can be reached or not.
+    Gradient steps alternate with steps in the metric of the rates that aren't 0, which are kept
+    if they lessen the misfit; these save most of the gradient steps. The fit ends when a gradient
+    step moves no rate by more than ``TOLERANCE``: there the projected gradient is 0, which
+    is the optimum, whether the targets can be reached or not.
     """
     k = len(targets)
-    p = [F.col("posterior")[i] / GRID for i in range(k)]
-    moments = mass.agg(*(F.sum(p[i] * p[j] * F.col("tokens")) for i in range(k) for j in range(k)))
-    metric = np.array(moments.first(), float).reshape(k, k)
-    inverse = np.linalg.pinv(metric, rcond=1e-9, hermitian=True)
+    now = _state(mass, [], k)
+    metric = np.linalg.pinv(now.active, rcond=1e-9, hermitian=True)
+
+    def misfit(state: _State) -> float:
+        return float((state.totals - targets) @ metric @ (state.totals - targets))
+
     steps: list[np.ndarray] = []
     for _ in range(ITERATIONS):
-        now = _rate(F.col("posterior"), steps)
-        moved = F.max(F.abs(now - _rate(F.col("posterior"), steps[:-1])))
-        *totals, most = mass.agg(*_totals(now, k), moved).first()
-        if steps and most <= TOLERANCE:
-            return steps
-        steps.append(inverse @ (np.array(totals, float) - targets))
+        steps.append(metric @ (now.totals - targets))
+        now = _state(mass, steps, k)
+        if now.moved <= TOLERANCE:
+            break
+        inner = now.active @ metric
+        step = np.linalg.pinv(inner @ now.active, rcond=1e-9, hermitian=True) @ inner @ (now.totals - targets)
+        ahead = _state(mass, [*steps, step], k)
+        if misfit(ahead) < misfit(now):
+            steps.append(step)
+            now = ahead
     return steps
 
 
@@ -371,9 +415,12 @@ def _posterior_columns(domains: tuple[str, ...]) -> list[Column]:
     return [(F.col("posterior")[i] / GRID).alias(name) for i, name in enumerate(names.values())]
 
 
-def even_weights(domains: tuple[str, ...]) -> dict[str, float]:
-    """Stated weights of the query's second mix: clean domains in equal parts, toxic ones not at all."""
-    return {d: 0.0 if d.endswith(TOXIC) else 1.0 for d in domains}
+def even_weights(wanted: dict[str, float]) -> dict[str, float]:
+    """Stated weights of the query's second mix: the production targets with the clean domains' tokens
+    dealt to them in equal parts."""
+    clean = [d for d in wanted if not d.endswith(TOXIC)]
+    each = sum(wanted[d] for d in clean) / max(len(clean), 1)
+    return {d: each if d in clean else w for d, w in wanted.items()}
 
 
 def op3_source_mixing(spark, sf_dir: str) -> DataFrame:
@@ -388,8 +435,9 @@ def op3_source_mixing(spark, sf_dir: str) -> DataFrame:
     model = fit_domains(docs, label_domains(labels, docs))
     rows = scored_documents(docs, model, ["doc_id"])
     mass = posterior_mass(rows)
-    mixes = {"": fit_mix(mass, model.domains),
-             "even_": fit_mix(mass, model.domains, even_weights(model.domains))}
+    production = fit_mix(mass, model.domains)
+    mixes = {"": production,
+             "even_": fit_mix(mass, model.domains, even_weights(production.wanted))}
     names = F.array(*(F.lit(d) for d in model.domains)).cast("array<string>")
     likeliest = F.get(names, (F.array_position("posterior", F.array_max("posterior")) - 1).cast("int"))
 

@@ -3,6 +3,14 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which :func:`run` writes as
 Parquet below the shared checkpoint folder and reads again as the next stage's documents.
 All stages but the last return the columns of their input.
+
+Defined results, for every stage: a null or empty text is a document like any other (the classifier
+scores it, its fingerprint is zero, it holds no benchmark window and no secret, and it has no tokens to
+mix). Nulls in other columns stay. Very long texts are read whole, one at a time. Of repeated rows and
+of rows that share an id or miss it, the near-duplicate stage keeps one of each group of near copies, ties going to the
+least text. Empty tables pass through as empty tables with the same columns. Further columns, whatever their
+names, come out as they went in; a document column called mix_rate or mix_copies makes the last stage
+number its own.
 """
 
 from __future__ import annotations

@@ -1,10 +1,16 @@
 """Embedding near-dedup: random-hyperplane tables, exact cosines, connected components.
 
-Every table hashes a vector to the signs of its products with random hyperplanes; vectors of
-one bucket are compared by their exact cosine in double precision. The number of signs
-follows the number of vectors, so that chance buckets stay small, and the number of tables
-follows from the recall asked for pairs that lie exactly at the threshold (pairs above it are
-found more often).
+Every table hashes a vector to the signs of its products with random hyperplanes. The number of
+signs follows the number of vectors, so that some ``OCCUPANCY`` vectors meet in a bucket by
+chance, and the number of tables follows from the recall asked for pairs that lie exactly at the
+threshold (pairs above it are found more often).
+
+What is shuffled to the buckets is an id and a sketch: the signs of 128 further products. A row of
+a bucket stays where the sketch of another one differs in few enough signs; a pair at the threshold
+differs in more with a chance of ``LOSS``, other pairs hardly ever in as few. Only rows that stay
+get their vector, and the vectors of one bucket are compared by their exact cosine in double
+precision. Products with hyperplanes are sums of whole numbers without rounding, so a vector has
+the same signs in whatever task they are computed.
 
 Equal vectors are one class with a count and meet nobody. A pair is counted only in the first
 table in which it meets, so link counts need no list of pairs; buckets give spanning edges to
@@ -13,13 +19,16 @@ dealt to different tasks, so every pair is still compared, with bounded groups.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components link
 with nothing; vectors of different lengths don't link. A null id takes part in links but is a
-component's id for none. Rows may repeat: each counts as a vector. Extra columns are ignored.
+component's id for none. Rows may repeat: each counts as a vector. Ties don't arise: a link is a
+cosine of at least the threshold, a component's id its least id. Long vectors are handled like
+short ones. An empty table gives an empty table. Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +37,16 @@ from pyspark.sql import functions as F
 
 from marketlake.llm._graph import components
 from marketlake.llm._groups import bucket_runs
-from marketlake.llm._store import written
+from marketlake.llm._store import drop_written, written
 
 COSINE = 0.9
 RECALL = 0.99
 SEED = 9
+#: vectors that meet in a bucket by chance, as a power of two
+OCCUPANCY = 7
+#: signs of a sketch, and the chance that a pair at the threshold differs in too many of them
+SKETCH = 128
+LOSS = 1e-6
 #: classes of one bucket that a task compares with each other
 BUCKET = 4096
 #: groups up to this size are compared side by side with others
@@ -41,62 +55,115 @@ _STEP = 1 << 16
 
 
 def table_plan(vectors: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int]:
-    """(signs per table, tables): about four chance neighbours, and the recall at the threshold."""
-    bits = min(30, max(6, math.ceil(math.log2(max(vectors, 1))) - 2))
+    """(signs per table, tables): the occupancy by chance, and the recall at the threshold."""
+    bits = min(30, max(4, math.ceil(math.log2(max(vectors, 1))) - OCCUPANCY))
     meet = (1 - math.acos(cosine) / math.pi) ** bits
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - meet))
 
 
+def sketch_reach(cosine: float = COSINE, loss: float = LOSS) -> int:
+    """Signs of a sketch in which a pair at the threshold differs, with chance 1 - loss at most."""
+    apart = math.acos(cosine) / math.pi
+    left, reach = 1.0, -1
+    while left > loss:
+        reach += 1
+        left -= math.comb(SKETCH, reach) * apart ** reach * (1 - apart) ** (SKETCH - reach)
+    return reach
+
+
 def _scaled(vectors: np.ndarray) -> np.ndarray:
     """The rows in double precision, scaled by powers of two so that no product overflows."""
     wide = vectors.astype(np.float64)
     return np.ldexp(wide, -np.frexp(np.abs(wide).max(axis=1, initial=0))[1][:, None])
 
 
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """Scaled vectors of one length."""
+    return _scaled(column.flatten().to_numpy().reshape(-1, dim))
+
+
+@lru_cache(maxsize=4)
+def _planes(dim: int, count: int, stream: int) -> np.ndarray:
+    rng = np.random.Generator(np.random.PCG64([SEED, stream, dim]))
+    return np.rint(rng.standard_normal((dim, count)) * 65536)
+
+
+def _signs(vectors: np.ndarray, count: int, stream: int) -> np.ndarray:
+    """Sides of hyperplanes: whole numbers whose products and sums stay below 2**53."""
+    dim = vectors.shape[1]
+    cells = np.rint(np.ldexp(vectors, min(22, 33 - math.ceil(math.log2(dim)))))
+    return cells @ _planes(dim, count, stream) >= 0
+
+
 def _signatures(vectors: np.ndarray, bits: int, tables: int) -> np.ndarray:
     """One unsigned integer per vector and table."""
-    rng = np.random.Generator(np.random.PCG64([SEED, vectors.shape[1]]))
-    planes = rng.standard_normal((vectors.shape[1], tables * bits))
     out = np.empty((len(vectors), tables), np.uint32)
     weights = (1 << np.arange(bits)).astype(np.uint32)
     for at in range(0, len(vectors), 1024):
-        signs = (vectors[at:at + 1024] @ planes >= 0).reshape(-1, tables, bits)
+        signs = _signs(vectors[at:at + 1024], tables * bits, 0).reshape(-1, tables, bits)
         out[at:at + 1024] = (signs * weights).sum(axis=2, dtype=np.uint32)
     return out
 
 
-def _hash_rows(bits: int, tables: int, kind: str):
-    """A row for each class and table: bucket, class, count, and the vector's bytes."""
+def _sketches(vectors: np.ndarray) -> np.ndarray:
+    """Two 64-bit integers per vector."""
+    return np.packbits(_signs(vectors, SKETCH, 1), axis=1).view(np.int64)
+
+
+def _hash_rows(bits: int, tables: int):
+    """A row for each class and table: bucket (table and signature), class and sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("embedding").value_lengths().to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                values = part.column("embedding").flatten().to_numpy().astype(kind).reshape(-1, dim)
-                for at in range(0, len(values), 512):
-                    own = values[at:at + 512]
-                    sig = _signatures(_scaled(own), bits, tables)
-                    n = len(own)
-                    row = np.repeat(np.arange(n), tables)
-                    vec = pa.array([v.tobytes() for v in own], pa.binary()).take(pa.array(row))
-                    sigs = pa.array([s.tobytes() for s in sig], pa.binary()).take(pa.array(row))
-                    piece = part.slice(at, n)
-                    yield _as_batch(
-                        a=piece.column("cid").take(pa.array(row)),
-                        links=piece.column("n").take(pa.array(row)),
-                        tab=np.tile(np.arange(tables, dtype=np.int32), n),
-                        sig=sig.ravel().astype(np.int64),
-                        dim=np.full(n * tables, dim, np.int32), vec=vec, sigs=sigs)
+                for at in range(0, part.num_rows, 512):
+                    piece = part.slice(at, 512)
+                    x = _matrix(piece.column("embedding"), dim)
+                    key = _signatures(x, bits, tables) + (np.arange(tables, dtype=np.int64) << 32)
+                    sketch = _sketches(x)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(v) for v in (
+                            key.T.ravel(), np.tile(piece.column("cid").to_numpy(), tables),
+                            np.tile(sketch[:, 0], tables), np.tile(sketch[:, 1], tables))],
+                        names=["key", "cid", "s0", "s1"])
     return run
 
 
-_ROW = [("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64()), ("tab", pa.int32()),
-        ("sig", pa.int64()), ("dim", pa.int32()), ("vec", pa.binary()), ("sigs", pa.binary())]
-_ROW_DDL = "a long, b long, links long, tab int, sig long, dim int, vec binary, sigs binary"
+def _with_partner(s0: np.ndarray, s1: np.ndarray, reach: int) -> np.ndarray:
+    """Which rows have another row whose sketch differs in at most ``reach`` signs."""
+    out = np.zeros(len(s0), bool)
+    for at in range(0, len(s0), 256):
+        cut = slice(at, at + 256)
+        apart = np.bitwise_count(s0[cut, None] ^ s0) + np.bitwise_count(s1[cut, None] ^ s1)
+        own = np.arange(len(apart))
+        apart[own, own + at] = SKETCH
+        out[cut] = (apart <= reach).any(axis=1)
+    return out
+
+
+def _members(reach: int, limit: int):
+    """Rows of the buckets of a sorted partition that may have a link; all of too large buckets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, begin, end in bucket_runs(batches, ["key"], limit):
+            if begin is not None:
+                s0, s1 = (batch.column(c).to_numpy().view(np.uint64) for c in ("s0", "s1"))
+                stays = np.zeros(batch.num_rows, bool)
+                for a, b in zip(begin, end, strict=True):
+                    if b - a > 1:
+                        stays[a:b] = _with_partner(s0[a:b], s1[a:b], reach)
+                batch = batch.filter(pa.array(stays))
+            yield batch.select(["key", "cid"])
+    return run
+
+
+_ROW = [("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64()), ("dim", pa.int32()),
+        ("key", pa.int64())]
+_ROW_DDL = "a long, b long, links long, dim int, key long"
 
 
 def _as_batch(**columns: pa.Array) -> pa.RecordBatch:
-    """Edges (a, b), link counts (a, links), or rows of a large bucket (all but b)."""
+    """Edges (a, b), link counts (a, links), or rows of a large bucket (a, dim, key)."""
     n = len(next(iter(columns.values())))
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in _ROW],
@@ -106,12 +173,11 @@ def _as_batch(**columns: pa.Array) -> pa.RecordBatch:
 class _Rows:
     """Rows of one length as arrays."""
 
-    def __init__(self, batch: pa.RecordBatch, kind: str):
-        size = batch.num_rows
-        self.cid, self.n, self.tab = (batch.column(c).to_numpy() for c in ("a", "links", "tab"))
-        vec, sigs = (np.frombuffer(b"".join(batch.column(c).to_pylist()), t).reshape(size, -1)
-                     for c, t in (("vec", kind), ("sigs", np.uint32)))
-        self.vec, self.sigs = _scaled(vec), sigs
+    def __init__(self, batch: pa.RecordBatch, plan: tuple[int, int]):
+        self.cid, self.n = (batch.column(c).to_numpy() for c in ("cid", "n"))
+        self.tab = batch.column("key").to_numpy() >> 32
+        self.vec = _matrix(batch.column("embedding"), batch.column("dim")[0].as_py())
+        self.sigs = _signatures(self.vec, *plan)
         self.norm = np.sqrt((self.vec * self.vec).sum(axis=1))
 
 
@@ -170,18 +236,18 @@ def _near_blocks(rows: _Rows, one: np.ndarray, two: np.ndarray, cosine: float, f
             found.add(cut[i], two[j])
 
 
-def _bucket_links(cosine: float, limit: int, kind: str):
+def _bucket_links(cosine: float, limit: int, plan: tuple[int, int]):
     """Links of the buckets of a sorted partition; rows of too large buckets pass through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, begin, end in bucket_runs(batches, ["dim", "tab", "sig"], limit):
+        for batch, begin, end in bucket_runs(batches, ["dim", "key"], limit):
             if begin is None:
-                yield _as_batch(**{c: batch.column(c) for c, _ in _ROW if c != "b"})
+                yield _as_batch(a=batch.column("cid"), dim=batch.column("dim"),
+                                key=batch.column("key"))
                 continue
             dims = batch.column("dim").to_numpy()
-            for dim in np.unique(dims):
-                first = int(np.searchsorted(dims, dim))
-                rows = _Rows(batch.slice(first, int(np.searchsorted(dims, dim, "right")) - first),
-                             kind)
+            for dim in np.unique(dims[begin]):
+                first, last = (int(np.searchsorted(dims, dim, side)) for side in ("left", "right"))
+                rows = _Rows(batch.slice(first, last - first), plan)
                 own = np.flatnonzero(dims[begin] == dim)
                 found = _Found(rows)
                 _small_groups(rows, begin[own] - first, end[own] - first, cosine, found)
@@ -206,14 +272,13 @@ def _small_groups(rows: _Rows, begin: np.ndarray, end: np.ndarray, cosine: float
             found.add(i[near], j[near])
 
 
-def _block_links(cosine: float, kind: str):
-    """Links of pairs of blocks: groups by (dim, tab, sig, low, high), rows of one or two blocks."""
+def _block_links(cosine: float, plan: tuple[int, int]):
+    """Links of pairs of blocks: groups by (dim, key, low, high), rows of one or two blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = ["dim", "tab", "sig", "low", "high"]
-        for batch, begin, end in bucket_runs(batches, keys, 1 << 62):
+        for batch, begin, end in bucket_runs(batches, ["dim", "key", "low", "high"], 1 << 62):
             for b, e in zip(begin, end, strict=True):
                 part = batch.slice(b, e - b)
-                rows = _Rows(part, kind)
+                rows = _Rows(part, plan)
                 block, low, high = (part.column(c).to_numpy() for c in ("block", "low", "high"))
                 one = np.flatnonzero(block == low)
                 two = one if low[0] == high[0] else np.flatnonzero(block == high)
@@ -225,55 +290,69 @@ def _block_links(cosine: float, kind: str):
 
 def _class_links(classes: DataFrame, cosine: float, recall: float, limit: int) -> DataFrame:
     """Edges (a, b) and link counts (a, links) between classes of equal vectors."""
-    kind = "<f4" if dict(classes.dtypes)["embedding"] == "array<float>" else "<f8"
-    bits, tables = table_plan(classes.count(), cosine, recall)
-    hashed = classes.select("cid", "n", "embedding").mapInArrow(
-        _hash_rows(bits, tables, kind), _ROW_DDL)
-    keys = ["dim", "tab", "sig"]
-    found = written(hashed.repartition(*keys).sortWithinPartitions(*keys)
-                    .mapInArrow(_bucket_links(cosine, limit, kind), _ROW_DDL), "links")
-    links = found.where("tab is null").select("a", "b", "links")
-    large = found.where("tab is not null").drop("b")
-    sizes = written(large.groupBy(*keys).agg(F.ceil(F.count("*") / limit).alias("blocks")), "large")
+    plan = table_plan(classes.count(), cosine, recall)
+    members = written(
+        classes.select("cid", "embedding")
+        .mapInArrow(_hash_rows(*plan), "key long, cid long, s0 long, s1 long")
+        .repartition("key").sortWithinPartitions("key")
+        .mapInArrow(_members(sketch_reach(cosine), limit), "key long, cid long"), "members")
+    vectors = classes.select("cid", "n", F.size("embedding").alias("dim"), "embedding")
+    found = written(
+        members.join(vectors, "cid").repartition("dim", "key").sortWithinPartitions("dim", "key")
+        .mapInArrow(_bucket_links(cosine, limit, plan), _ROW_DDL), "links")
+    drop_written(members)
+    large = found.where("key is not null").select(F.col("a").alias("cid"), "dim", "key")
+    sizes = written(large.groupBy("dim", "key").agg(F.ceil(F.count("*") / limit).alias("blocks")),
+                    "large")
     if sizes.isEmpty():
-        return links
-    blocked = (large.join(sizes, keys)
-               .withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")))
+        return found.select("a", "b", "links")
+    blocked = (large.join(sizes, ["dim", "key"])
+               .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
                .withColumn("low", F.least("block", "other"))
-               .withColumn("high", F.greatest("block", "other")))
-    pair = [*keys, "low", "high"]
-    return links.unionByName(written(
-        blocked.repartition(*pair).sortWithinPartitions(*pair)
-        .mapInArrow(_block_links(cosine, kind), _ROW_DDL), "blocks").select("a", "b", "links"))
+               .withColumn("high", F.greatest("block", "other"))
+               .join(vectors.drop("dim"), "cid"))
+    pair = ["dim", "key", "low", "high"]
+    return written(
+        found.where("key is null").unionByName(
+            blocked.repartition(*pair).sortWithinPartitions(*pair)
+            .mapInArrow(_block_links(cosine, plan), _ROW_DDL)), "blocks").select("a", "b", "links")
 
 
 def embedding_components(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL,
                          limit: int = BUCKET) -> DataFrame:
-    """vec_id, n_links and component_id of every row of ``vectors`` (vec_id, embedding)."""
+    """vec_id, n_links and component_id of every row of ``vectors`` (vec_id, embedding).
+
+    Rows and classes meet by two 64-bit hashes of the vector, so a vector is shuffled only to
+    its class and to the buckets in which it may have a link.
+    """
     if not 0 < cosine < 1 or not 0 < recall < 1:
         raise ValueError("cosine and recall lie between 0 and 1")
     x = F.col("embedding")
     sound = (F.size(x) > 0) & F.forall(
         x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(
         x, lambda v: v != 0)
-    rows = vectors.select("vec_id", "embedding").withColumn("sound", F.coalesce(sound, F.lit(False)))
+    rows = vectors.select("vec_id", "embedding", F.coalesce(sound, F.lit(False)).alias("sound"),
+                          F.xxhash64(x).alias("h0"), F.xxhash64(F.lit(SEED), x).alias("h1"))
     classes = written(
-        rows.where("sound").groupBy("embedding")
-        .agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+        rows.where("sound").groupBy("h0", "h1")
+        .agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.first(x).alias("embedding"))
         .withColumn("cid", F.monotonically_increasing_id()), "vectors")
-    links = written(_class_links(classes, cosine, recall, limit), "found")
+    links = _class_links(classes, cosine, recall, limit)
     counts = links.where("links is not null").groupBy("a").agg(F.sum("links").alias("links"))
     roots = components(links.where("b is not null").select("a", "b"))
-    known = written(classes.select("cid", "least", "n")
+    known = written(classes.select("cid", "h0", "h1", "least", "n")
                     .join(counts.withColumnRenamed("a", "cid"), "cid", "left")
                     .join(roots.withColumnRenamed("node", "cid"), "cid", "left")
                     .withColumn("root", F.coalesce("root", "cid")), "known")
+    drop_written(links)
+    drop_written(classes)
     ids = written(known.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
-    named = written(classes.select("cid", "embedding").join(known.join(ids, "root"), "cid").select(
-        "embedding", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+    named = written(known.join(ids, "root").select(
+        "h0", "h1", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
         "component_id"), "named")
-    linked = rows.where("sound").join(named, "embedding").select("vec_id", "n_links", "component_id")
+    drop_written(known)
+    linked = rows.where("sound").join(named, ["h0", "h1"]).select("vec_id", "n_links", "component_id")
     return linked.unionByName(rows.where("not sound").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
 

@@ -1,6 +1,7 @@
 """Operators on repeated and similar texts against brute force."""
 
 import hashlib
+import math
 import random
 from collections import defaultdict
 
@@ -9,6 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from marketlake.llm import embedding_dedup
 from marketlake.llm._graph import components as spark_components
 from marketlake.llm.decontamination import clean_documents, contaminated_words
 from marketlake.llm.embedding_dedup import embedding_components, table_plan
@@ -276,3 +278,27 @@ def test_table_plan_reaches_the_recall():
         bits, tables = table_plan(n)
         meet = (1 - np.arccos(0.9) / np.pi) ** bits
         assert 1 - (1 - meet) ** tables >= 0.99
+
+
+def test_signs_are_the_same_in_any_batch():
+    x = np.random.default_rng(1).standard_normal((300, 48))
+    x = embedding_dedup._scaled(x)
+    whole = embedding_dedup._signatures(x, 9, 17), embedding_dedup._sketches(x)
+    for at in (0, 7, 299):
+        assert (embedding_dedup._signatures(x[at:at + 1], 9, 17) == whole[0][at]).all()
+        assert (embedding_dedup._sketches(x[at:at + 1]) == whole[1][at]).all()
+
+
+def test_sketch_keeps_pairs_at_the_threshold():
+    rng = np.random.default_rng(2)
+    a = rng.standard_normal((4000, 32))
+    side = rng.standard_normal((4000, 32))
+    side -= a * ((a * side).sum(1) / (a * a).sum(1))[:, None]
+    b = 0.9 * a + math.sqrt(0.19) * side * (np.linalg.norm(a, axis=1) / np.linalg.norm(side, axis=1))[:, None]
+    s, t = (embedding_dedup._sketches(embedding_dedup._scaled(v)).view(np.uint64) for v in (a, b))
+    apart = np.bitwise_count(s ^ t).sum(axis=1, dtype=int)
+    reach = embedding_dedup.sketch_reach()
+    assert abs(apart.mean() - 128 * math.acos(0.9) / math.pi) < 0.5 and apart.max() <= reach < 45
+    both = np.concatenate([s[:40], t[:20]])
+    got = embedding_dedup._with_partner(both[:, 0], both[:, 1], reach)
+    assert got.tolist() == [True] * 20 + [False] * 20 + [True] * 20

@@ -5,8 +5,8 @@ A query without SQL is tested against a brute-force version or held-out accuracy
 
 from __future__ import annotations
 
-from marketlake.llm.decontamination import op1_decontamination
-from marketlake.llm.embedding_dedup import op9_embedding_dedup
+from marketlake.llm.decontamination import OP1_SQL, op1_decontamination
+from marketlake.llm.embedding_dedup import OP9_SQL, op9_embedding_dedup
 from marketlake.llm.embedding_whitening import op11_embedding_whitening
 from marketlake.llm.importance_resampling import OP12_SQL, op12_importance_resampling
 from marketlake.llm.language_id import op7_language_id
@@ -15,7 +15,7 @@ from marketlake.llm.mixing import op3_source_mixing
 from marketlake.llm.quality_gam import op4_quality_classifier
 from marketlake.llm.secret_scan import op6_secret_scan
 from marketlake.llm.simhash_dedup import op5_simhash_dedup
-from marketlake.llm.substring_dedup import op2_substring_dedup
+from marketlake.llm.substring_dedup import OP2_SQL, op2_substring_dedup
 from marketlake.llm.toxicity_gru import op13_toxicity
 from marketlake.llm.warc import OP10_SQL, op10_warc
 
@@ -36,6 +36,9 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_decontamination": OP1_SQL,
+    "op2_substring_dedup": OP2_SQL,
+    "op9_embedding_dedup": OP9_SQL,
     "op10_warc": OP10_SQL,
     "op12_importance_resampling": OP12_SQL,
 }

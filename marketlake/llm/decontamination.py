@@ -228,3 +228,30 @@ def op1_decontamination(spark, sf_dir: str) -> DataFrame:
         "doc.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+_SQL_WORDS = ("coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+              r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), CAST([] AS VARCHAR[]))")
+#: every window of every item against every run of as many words of a document
+OP1_SQL = rf"""
+WITH items AS (SELECT item_id, {_SQL_WORDS} AS words FROM benchmark),
+sized AS (SELECT item_id, words, least(len(words), {WINDOW}) AS size FROM items WHERE len(words) > 0),
+windows AS (
+  SELECT DISTINCT item_id, size, words[i + 1:i + size] AS win
+  FROM (SELECT *, unnest(range(len(words) - size + 1)) AS i FROM sized)),
+docs AS (SELECT row_number() OVER () AS row_id, doc_id, {_SQL_WORDS} AS words FROM documents),
+starts AS (
+  SELECT row_id, size, i, words[i + 1:i + size] AS win
+  FROM (SELECT row_id, words, size, unnest(range(len(words) - size + 1)) AS i
+        FROM docs, (SELECT DISTINCT size FROM windows))),
+hits AS (SELECT * FROM starts WHERE win IN (SELECT win FROM windows)),
+covered AS (
+  SELECT row_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT row_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY row_id),
+found AS (
+  SELECT row_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids
+  FROM hits JOIN windows USING (win) WHERE item_id IS NOT NULL GROUP BY row_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids), 0) AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (row_id) LEFT JOIN found USING (row_id)"""

@@ -361,3 +361,24 @@ def op9_embedding_dedup(spark, sf_dir: str) -> DataFrame:
     """The contract's columns of :func:`embedding_components` over ``embeddings``."""
     found = embedding_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+#: all pairs of vectors, and what each reaches by links
+OP9_SQL = f"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+sound AS (
+  SELECT r, x FROM rows
+  WHERE len(x) > 0 AND len(list_filter(x, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+    AND len(list_filter(x, lambda v: v <> 0)) > 0),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM sound a JOIN sound b ON a.r <> b.r AND len(a.x) = len(b.x)
+  WHERE CASE WHEN len(a.x) = len(b.x) THEN list_cosine_similarity(a.x, b.x) >= {COSINE} END),
+reached AS (
+  SELECT r AS a, r AS b FROM rows
+  UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b),
+component AS (
+  SELECT a, min(vec_id) AS component_id FROM reached JOIN rows ON rows.r = reached.b GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM rows JOIN component ON component.a = r LEFT JOIN degree ON degree.a = r"""

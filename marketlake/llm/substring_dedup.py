@@ -259,3 +259,48 @@ def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
         F.when(F.col("kept_text").isNull(), F.col("words_sha256"))
         .otherwise(F.sha2("kept_text", 256)).alias("kept_sha256"),
         F.col("longest_repeat").cast("long").alias("longest_repeat"))
+
+
+#: doublings that the SQL spells out; longer repeats than 50 * 2**14 words would need more
+_SQL_LEVELS = 14
+
+
+def _sql_level(n: int) -> str:
+    """Windows of twice the length of level n - 1, by the digests of their halves."""
+    half = WINDOW << n - 1
+    return f"""
+level{n} AS (
+  SELECT key, i, h, first < key AS earlier FROM (
+    SELECT key, i, h, min(key) OVER (PARTITION BY h) AS first, max(key) OVER (PARTITION BY h) AS last
+    FROM (SELECT a.key, a.i, md5(a.h || b.h) AS h FROM level{n - 1} a
+          JOIN level{n - 1} b ON b.key = a.key AND b.i = a.i + {half}))
+  WHERE first < last)"""
+
+
+_SQL_LONGEST = " UNION ALL ".join(
+    f"SELECT key, {WINDOW << n} AS length FROM level{n} WHERE earlier" for n in range(_SQL_LEVELS + 1))
+#: all windows of 50 words by their text, then windows of twice the length from pairs of halves
+OP2_SQL = rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(doc_id, {_LAST_ID}) AS key,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), CAST([] AS VARCHAR[])) AS words
+  FROM documents),
+level0 AS (
+  SELECT key, i, h, first < key AS earlier FROM (
+    SELECT key, i, h, min(key) OVER (PARTITION BY h) AS first, max(key) OVER (PARTITION BY h) AS last
+    FROM (SELECT key, i, md5(array_to_string(words[i + 1:i + {WINDOW}], ' ')) AS h
+          FROM (SELECT key, words, unnest(range(len(words) - {WINDOW} + 1)) AS i FROM docs)))
+  WHERE first < last),{",".join(_sql_level(n) for n in range(1, _SQL_LEVELS + 1))},
+gone AS (SELECT DISTINCT key, unnest(range(i, i + {WINDOW})) AS i FROM level0 WHERE earlier),
+kept AS (
+  SELECT key, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS words
+  FROM (SELECT key, unnest(words) AS word, unnest(range(len(words))) AS i FROM docs)
+  ANTI JOIN gone USING (key, i) GROUP BY key),
+repeats AS (SELECT key, max(length) AS longest FROM ({_SQL_LONGEST}) GROUP BY key),
+copies AS (
+  SELECT key, row_number() OVER (PARTITION BY words ORDER BY key) > 1 AS copy
+  FROM docs WHERE len(words) >= {WINDOW})
+SELECT doc_id, len(d.words) AS n_words, len(d.words) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept.words, '')) AS kept_sha256,
+       CAST(CASE WHEN NOT coalesce(copy, false) THEN longest END AS BIGINT) AS longest_repeat
+FROM docs d LEFT JOIN kept USING (key) LEFT JOIN repeats USING (key) LEFT JOIN copies USING (key)"""

@@ -5,6 +5,7 @@ import math
 import random
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm import embedding_dedup
 from marketlake.llm._graph import components as spark_components
+from marketlake.llm.catalog import ORACLE, QUERIES
 from marketlake.llm.decontamination import clean_documents, contaminated_words
 from marketlake.llm.embedding_dedup import embedding_components, table_plan
 from marketlake.llm.simhash_dedup import (
@@ -23,6 +25,7 @@ from marketlake.llm.simhash_dedup import (
     simhash_components,
 )
 from marketlake.llm.substring_dedup import NO_WORDS, substring_dedup
+from conftest import SF_SMALL
 from tests.llm.corpus import SPACED, WORD, components, documents, lower, prose, rows
 
 
@@ -291,8 +294,8 @@ def test_signs_are_the_same_in_any_batch():
 
 def test_sketch_keeps_pairs_at_the_threshold():
     rng = np.random.default_rng(2)
-    a = rng.standard_normal((4000, 32))
-    side = rng.standard_normal((4000, 32))
+    a = rng.standard_normal((4000, 256))
+    side = rng.standard_normal((4000, 256))
     side -= a * ((a * side).sum(1) / (a * a).sum(1))[:, None]
     b = 0.9 * a + math.sqrt(0.19) * side * (np.linalg.norm(a, axis=1) / np.linalg.norm(side, axis=1))[:, None]
     s, t = (embedding_dedup._sketches(embedding_dedup._scaled(v)).view(np.uint64) for v in (a, b))
@@ -302,3 +305,29 @@ def test_sketch_keeps_pairs_at_the_threshold():
     both = np.concatenate([s[:40], t[:20]])
     got = embedding_dedup._with_partner(both[:, 0], both[:, 1], reach)
     assert got.tolist() == [True] * 20 + [False] * 20 + [True] * 20
+
+
+@pytest.mark.parametrize("name", ["op1_decontamination", "op2_substring_dedup"])
+def test_equals_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    found = con.execute(ORACLE[name])
+    got = QUERIES[name](spark, SF_SMALL).select(*(d[0] for d in found.description)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted(found.fetchall(), key=str)
+
+
+def test_embedding_dedup_equals_sql_on_linked_vectors(spark, tmp_path):
+    rng = np.random.default_rng(5)  # pairs far from the threshold: the tables meet them all
+    x = rng.standard_normal((40, 16))[rng.integers(0, 40, 300)]
+    x = (x + rng.standard_normal(x.shape) * rng.choice([0.0, 0.03], (300, 1))).astype(np.float32)
+    data = [(i, v.tolist()) for i, v in enumerate(x)] + [(400, None), (401, [0.0] * 16), (None, x[0].tolist())]
+    spark.createDataFrame(data, "vec_id long, embedding array<float>").coalesce(1).write.parquet(
+        str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    found = con.execute(ORACLE["op9_embedding_dedup"])
+    got = QUERIES["op9_embedding_dedup"](spark, str(tmp_path)).select(*(d[0] for d in found.description)).collect()
+    want = found.fetchall()
+    assert sum(r[1] for r in want) > 300
+    assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)

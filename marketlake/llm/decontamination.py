@@ -8,9 +8,11 @@ positions of prefix shingles are joined with the windows. The place of the shing
 window bounds the position (the window must start and end inside the document) and the
 length; the words around the position then verify the whole window.
 
-Before the shuffle a bitmap of the benchmark's shingles, of fixed size, keeps other positions
-out. It is built by a Spark aggregate and may let chance positions through, never drop one. The
-exact join is dealt by shingle and salted by document, so a passage that a third of all
+Before the shuffle a bitmap of the benchmark's shingles keeps other positions out. It is built by
+a Spark aggregate, sets ``len(SHIFTS)`` slots a shingle and has ``SLOTS`` bits for each of them, so it
+lets about one chance position in 10,000 through and never drops one. Its size is bounded by
+``MOST_BITS``: beyond some four million shingles more chance positions pass to the join, which
+is exact. The join is dealt by shingle and salted by document, so a passage that a third of all
 documents hold is spread over many tasks.
 
 Defined results: null, empty and wordless texts have no words; wordless items have no windows.
@@ -35,8 +37,11 @@ from marketlake.llm._text import ALNUM_WORD, Words, row_slices, window_hashes
 
 WINDOW = 10
 SHINGLE = 5
-#: bits of the bitmap of shingles that leads to the exact join (1 MiB)
-BITMAP_BITS = 1 << 23
+#: bits of the bitmap for each shingle, and its greatest size (32 MiB)
+SLOTS = 64
+MOST_BITS = 1 << 28
+#: parts of a hash that give its slots
+SHIFTS = (0, 18, 36)
 #: parts into which the documents of one shingle are dealt
 SALTS = 16
 
@@ -63,29 +68,45 @@ def _item_windows(window: int, shingle: int) -> Callable:
     return run
 
 
-def shingle_bitmap(shingles: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
-    """A bitmap with the slot of every shingle (column h) set; at most bits / 64 rows come back."""
-    rows = shingles.select(F.col("h").bitwiseAND(F.lit(bits - 1)).alias("slot")).select(
-        F.shiftright("slot", 6).alias("word"),
-        F.expr("shiftleft(1L, CAST(slot & 63 AS INT))").alias("bit"))
-    out = np.zeros(bits // 64, np.int64)
-    for word, value in rows.groupBy("word").agg(F.bit_or("bit")).collect():
-        out[word] = value
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
+def bitmap_bits(shingles: int) -> int:
+    """A power of two: ``SLOTS`` bits a shingle, 8 KiB at least, ``MOST_BITS`` at most."""
+    return min(MOST_BITS, max(1 << 16, 1 << (SLOTS * max(shingles, 1) - 1).bit_length()))
+
+
+def shingle_bitmap(shingles: DataFrame, bits: int) -> np.ndarray:
+    """Bytes with the slots of every shingle (column h) set; at most bits / 64 rows come back."""
+    rows = shingles.select(F.explode(F.array(*(
+        F.shiftrightunsigned("h", s).bitwiseAND(F.lit(bits - 1)) for s in SHIFTS))).alias("slot")
+    ).select(F.shiftright("slot", 6).alias("word"),
+             F.expr("shiftleft(1L, CAST(slot & 63 AS INT))").alias("bit"))
+    found = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(bits // 64, "<i8")
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out.view(np.uint8)
+
+
+def _set(h: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    """Positions of the hashes whose slots are all set."""
+    at = np.arange(len(h))
+    mask = np.uint64(8 * len(bitmap) - 1)
+    for shift in SHIFTS:
+        slot = (h[at] >> np.uint64(shift)) & mask
+        at = at[(bitmap[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7))) & 1 == 1]
+    return at
 
 
 def _known(words: Words, size: int, h: np.ndarray, bitmap: np.ndarray
            ) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the shingles of ``size`` words whose slot is set."""
+    """Positions and hashes of the shingles of ``size`` words whose slots are set."""
     found = window_hashes(h, size)
-    hit = bitmap[(found & np.uint64(len(bitmap) - 1)).astype(np.int64)] & words.inside(size)[:len(found)]
-    at = np.flatnonzero(hit)
+    at = _set(found, bitmap)
+    at = at[words.inside(size)[at]]
     return at, found[at]
 
 
 def _count_shingles(packed: Broadcast, sizes: list[int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.unpackbits(packed.value, bitorder="little").view(bool)
+        bitmap = packed.value
         for batch in batches:
             for part in row_slices(batch):
                 words = Words(part.column("text"), ALNUM_WORD, lower=True)
@@ -107,7 +128,7 @@ def _prefix_positions(packed: Broadcast, sizes: list[int], window: int,
                                ("around", pa.list_(pa.string()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.unpackbits(packed.value, bitorder="little").view(bool)
+        bitmap = packed.value
         for batch in batches:
             for part in row_slices(batch):
                 words = Words(part.column("text"), ALNUM_WORD, lower=True)
@@ -151,7 +172,7 @@ def contaminated_words(docs: DataFrame, items: DataFrame, window: int = WINDOW,
 
     def share(shingles: DataFrame) -> Broadcast:
         return spark.sparkContext.broadcast(
-            np.packbits(shingle_bitmap(shingles), bitorder="little"))
+            shingle_bitmap(shingles, bitmap_bits(shingles.count())))
 
     counts = written(docs.select("text").mapInArrow(
         _count_shingles(share(own.select("h")), sizes), "h long, n long")

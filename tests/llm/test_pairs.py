@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from marketlake.llm import embedding_dedup
+from marketlake.llm import decontamination, embedding_dedup
 from marketlake.llm._graph import components as spark_components
 from marketlake.llm.catalog import ORACLE, QUERIES
 from marketlake.llm.decontamination import clean_documents, contaminated_words
@@ -137,6 +137,20 @@ def test_decontamination(spark, window, shingle):
     assert sorted(r.doc_id for r in clean.collect()) == [w[0] for w in want if not w[2]]
 
 
+def test_bitmap_keeps_its_shingles_and_few_others(spark):
+    assert [decontamination.bitmap_bits(n) for n in (0, 1024, 1025, 1 << 30)] == [
+        1 << 16, 1 << 16, 1 << 17, 1 << 28]
+    rng = np.random.default_rng(7)
+    own, other = (rng.integers(0, 1 << 64, n, np.uint64) for n in (5000, 400_000))
+    found = decontamination.shingle_bitmap(
+        spark.createDataFrame([(int(v),) for v in own.view(np.int64)], "h long"),
+        decontamination.bitmap_bits(len(own)))
+    assert len(decontamination._set(own, found)) == len(own)
+    assert len(decontamination._set(other, found)) < 400
+    none = decontamination.shingle_bitmap(spark.createDataFrame([], "h long"), 1 << 16)
+    assert not none.any() and not len(decontamination._set(own, none))
+
+
 def test_no_benchmark_item(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     found = contaminated_words(documents(spark, rows(["a b c", None])), items).collect()

@@ -220,12 +220,15 @@ def fit_gam(x: np.ndarray, y: np.ndarray, cycles: int = CYCLES, pairs: int = PAI
     return model
 
 
+_KEPT = ["doc_id", "text_hash", "quality"]
+
+
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in row_slices(batch):
             x = features(part.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [part.column("quality"), *map(pa.array, x.T)], names=["quality", *FEATURES])
+                [*(part.column(c) for c in _KEPT), *map(pa.array, x.T)], names=[*_KEPT, *FEATURES])
 
 
 def fold(doc_id: Column) -> Column:
@@ -234,15 +237,23 @@ def fold(doc_id: Column) -> Column:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Gam:
-    """Learn ``labels.quality`` from at most ``sample`` labelled rows outside the held-out fold."""
+    """Learn ``labels.quality`` from at most ``sample`` labelled documents outside the held-out fold.
+
+    Of rows that share an id the text with the least hash counts, so ``sample`` bounds the rows
+    that come to the driver, whatever repeats.
+    """
     known = (labels.where((fold(F.col("doc_id")) != 0) & F.col("quality").isin(0, 1))
              .groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     # the sample bounds the broadcast side
     rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(
-        F.broadcast(written(known, "labels")), "doc_id").select("quality", "text")
-    found = rows.mapInArrow(
-        _feature_rows, "quality int, " + ", ".join(f"{f} double" for f in FEATURES)).toPandas()
+        F.broadcast(written(known, "labels")), "doc_id").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
+        "quality", "text")
+    values = ", ".join(f"{f} double" for f in FEATURES)
+    found = (rows.mapInArrow(_feature_rows, f"doc_id long, text_hash long, quality int, {values}")
+             .groupBy("doc_id").agg(F.min(F.struct("text_hash", "quality", *FEATURES)).alias("least"))
+             .select("doc_id", "least.*").toPandas().sort_values("doc_id"))
     return fit_gam(found[list(FEATURES)].to_numpy(float), found["quality"].to_numpy(float))
 
 

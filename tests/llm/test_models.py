@@ -55,6 +55,17 @@ def test_quality_with_nothing_to_learn(spark):
         assert len(scores) == 1 and 0 < scores.pop() < 1
 
 
+def test_quality_learns_one_row_of_an_id(spark):
+    rng = random.Random(3)
+    data = rows([prose(rng, 40) + "." if i % 2 else "!! " * rng.randrange(5, 30) for i in range(80)])
+    labels = spark.createDataFrame([(r[0], i % 2, 0) for i, r in enumerate(data)],
+                                   "doc_id long, quality int, toxic int")
+    once = quality_gam.fit_quality(documents(spark, data), labels)
+    often = quality_gam.fit_quality(documents(spark, data + data[:1] * 60), labels)
+    assert once.bias == often.bias and len(once.tables) == len(quality_gam.FEATURES)
+    assert all((a == b).all() for a, b in zip(once.tables, often.tables, strict=True))
+
+
 def test_languages_on_held_out_rows(spark):
     found = language_id.op7_language_id(spark, SF_MED).join(
         spark.read.parquet(f"{SF_MED}/documents.parquet").select("doc_id", "lang"), "doc_id")

@@ -9,6 +9,7 @@ a broadcast where the measured bytes of a side lie under the session's threshold
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def join_company(prices: DataFrame, company: DataFrame) -> DataFrame:
@@ -36,6 +37,10 @@ def dim_with_fact(dim: DataFrame, fact_by_symbol: DataFrame) -> DataFrame:
     return dim.join(fact_by_symbol, "symbol", "left")
 
 
-def semi_by(df: DataFrame, keys_df: DataFrame, key: str = "symbol") -> DataFrame:
-    """``WHERE key IN (SELECT key FROM keys_df)`` as a left-semi join."""
-    return df.join(keys_df.select(key), key, "left_semi")
+def semi_by(df: DataFrame, keys_df: DataFrame, key: str = "symbol", nulls: bool = False) -> DataFrame:
+    """``WHERE key IN (SELECT key FROM keys_df)`` as a left-semi join (J5). With ``nulls`` a
+    null is a key like any other and meets a null of ``keys_df``; in SQL's ``IN`` it meets none."""
+    if not nulls:
+        return df.join(keys_df.select(key), key, "left_semi")
+    met = F.col(f"rows.{key}").eqNullSafe(F.col(f"shown.{key}"))
+    return df.alias("rows").join(keys_df.select(key).alias("shown"), met, "left_semi")

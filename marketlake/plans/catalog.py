@@ -382,17 +382,13 @@ def q_vix_long(spark, d):
     return dash.vix_overlay(shifted_facts(spark, d), DISPLAY_ROWS)
 
 
-# The brands (by prefix) that the long trend shows.
-TREND_BRANDS = "Brand#1"
-
-
 @query("price_trend_long_history")
 def q_trend_long(spark, d):
-    """The trailing 30 days of some symbols of a long history."""
+    """The trailing 30 days of a long history (of all its symbols, parts without a brand included)."""
     raw = fx.shifted_long_prices(spark, d)
-    shown = read_table(spark, d, "part").filter(F.col("p_brand").startswith(TREND_BRANDS)).select(
-        F.col("p_brand").alias("symbol"))
-    return dash.price_trend(shifted_facts(spark, d), shown, raw.select(F.max("date")).scalar())
+    shown = read_table(spark, d, "part").select(F.col("p_brand").alias("symbol")).distinct()
+    return dash.price_trend(shifted_facts(spark, d), shown, raw.select(F.max("date")).scalar(),
+                            nulls=True)
 
 
 @query("zero_price_returns")

@@ -80,16 +80,18 @@ def screener_count(screened: DataFrame) -> DataFrame:
     return screened.agg(F.count(F.lit(1)).alias("n_stocks"))
 
 
-def price_trend(facts: DataFrame, screened: DataFrame, as_of=None, days: int = 30) -> DataFrame:
+def price_trend(facts: DataFrame, screened: DataFrame, as_of=None, days: int = 30,
+                nulls: bool = False) -> DataFrame:
     """The screened symbols' rows of the trailing ``days`` calendar days, newest first.
 
     ``screened`` is any frame with the symbols to show; :func:`screened_symbols` gives them
-    from the dimension alone. ``as_of`` defaults to the latest loaded date (a scalar
+    from the dimension alone. With ``nulls`` a null among them shows the rows without a symbol.
+    ``as_of`` defaults to the latest loaded date (a scalar
     subquery), never the clock.
     """
     if as_of is None:
         as_of = facts.select(F.max("date")).scalar()
-    rows = semi_by(facts.select("symbol", "date", "close", "daily_return"), screened)
+    rows = semi_by(facts.select("symbol", "date", "close", "daily_return"), screened, nulls=nulls)
     return recent(rows, as_of, days).orderBy(F.col("date").desc())
 
 
